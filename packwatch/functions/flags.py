@@ -9,6 +9,11 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 
+def _let(name: str, value: str, body: str) -> str:
+    """``body`` with ``name`` standing for ``value``, which is computed once."""
+    return f"transform(array({value}), {name} -> {body})[0]"
+
+
 def _mean(a: str) -> str:
     return f"(aggregate({a}, 0D, (t, v) -> t + v) / size({a}))"
 
@@ -22,7 +27,7 @@ def _dot(a: str, b: str) -> str:
 
 
 def _centred(a: str) -> str:
-    return f"transform({a}, c -> c - {_mean(a)})"
+    return _let("mid", _mean(a), f"transform({a}, c -> c - mid)")
 
 
 def _steps(a: str) -> str:
@@ -31,7 +36,8 @@ def _steps(a: str) -> str:
 
 
 def _slope(x: str, y: str) -> str:
-    return f"try_divide({_dot(_centred(x), _centred(y))}, {_dot(_centred(x), _centred(x))})"
+    body = f"try_divide({_dot('dx', _centred(y))}, {_dot('dx', 'dx')})"
+    return _let("dx", _centred(x), body)
 
 
 def _flag(condition: str) -> str:
@@ -47,28 +53,28 @@ def _smooth(a: str, win: str) -> str:
 
 
 def _quartile(a: str, quarter: int) -> str:
+    """Quartile of a sorted array."""
     at = f"((size({a}) + 1) * {quarter} / 4)"
     k, f = f"cast(floor({at}) AS int)", f"({at} % 1)"
-    return f"(array_sort({a})[{k} - 1] * (1 - {f}) + coalesce(get(array_sort({a}), {k}), 0D) * {f})"
+    return f"({a}[{k} - 1] * (1 - {f}) + coalesce(get({a}, {k}), 0D) * {f})"
 
 
 def _beyond_box(a: str, factor: str) -> str:
-    q1, q3 = _quartile(a, 1), _quartile(a, 3)
-    reach = f"(({q3} - {q1}) * {factor})"
-    return f"(size({a}) >= 3 AND exists({a}, v -> v < {q1} - {reach} OR v > {q3} + {reach}))"
+    box = f"named_struct('q1', {_quartile('sorted', 1)}, 'q3', {_quartile('sorted', 3)})"
+    reach = f"((box.q3 - box.q1) * {factor})"
+    test = f"exists(sorted, v -> v < box.q1 - {reach} OR v > box.q3 + {reach})"
+    return _let("sorted", f"array_sort({a})", f"size(sorted) >= 3 AND {_let('box', box, test)}")
 
 
 def _impedance(spread: str, current: str, slow: str, fast: str) -> str:
     both = f"zip_with({spread}, {current}, (s, i) -> named_struct('s', s, 'i', abs(i), 'on', i < -5))"
-    pairs = f"filter({both}, z -> z.on)"
-    ratio = _mean(f"transform({pairs}, z -> z.s / z.i)")
-    strength = f"transform({pairs}, z -> z.i)"
+    ratio = _mean("transform(pairs, z -> z.s / z.i)")
+    strength = "transform(pairs, z -> z.i)"
     mean, peak = _mean(strength), f"array_max({strength})"
     fast_charge = f"({mean} >= 50 OR ({mean} > 30 AND {peak} > 50))"
-    return _flag(
-        f"size({spread}) > 50 AND size({pairs}) > 0 AND "
-        f"{ratio} >= CASE WHEN {fast_charge} THEN {fast} ELSE {slow} END"
-    )
+    test = f"size(pairs) > 0 AND {ratio} >= CASE WHEN {fast_charge} THEN {fast} ELSE {slow} END"
+    bound = _let("pairs", f"filter({both}, z -> z.on)", test)
+    return _flag(f"size({spread}) > 50 AND {bound}")
 
 
 def _fluctuation(high: str, low: str, th: str) -> str:
@@ -81,14 +87,14 @@ def _fluctuation(high: str, low: str, th: str) -> str:
 
 
 def _dispersion(frames: str, th1: str, th2: str) -> str:
-    matrix = f"transform({frames}, s -> from_json(s, 'array<double>'))"
-    shift = f"transform({matrix}, r -> transform(r, v -> v - {_mean('r')}))"
-    cell = f"transform({shift}, r -> r[j])"
-    numbers = f"sequence(0, size({matrix}[0]) - 1)"
-    means = f"transform({numbers}, j -> abs({_mean(cell)}))"
-    centred = f"transform({cell}, d -> d - {_mean(cell)})"
-    stds = f"transform({numbers}, j -> sqrt(try_divide({_dot(centred, centred)}, size({frames}) - 1)))"
-    return _flag(f"{_beyond_box(means, th1)} OR {_beyond_box(stds, th2)}")
+    parsed = f"transform({frames}, s -> from_json(s, 'array<double>'))"
+    shifted = f"transform({parsed}, r -> {_centred('r')})"
+    by_cell = "transform(sequence(0, size(rows[0]) - 1), j -> transform(rows, r -> r[j]))"
+    means = f"transform(cells, c -> abs({_mean('c')}))"
+    squares = _let("d", _centred("e"), _dot("d", "d"))
+    stds = f"transform(cells, e -> sqrt(try_divide({squares}, size(e) - 1)))"
+    test = f"{_beyond_box(means, th1)} OR {_beyond_box(stds, th2)}"
+    return _flag(_let("rows", shifted, _let("cells", by_cell, test)))
 
 
 def _empty(*arrays: str) -> str:
@@ -111,8 +117,12 @@ DEFINITIONS = {
         "signal ARRAY<DOUBLE>, th INT, win INT",
         f"CASE WHEN {_empty('signal')} THEN NULL WHEN size(signal) < 2 THEN '0' ELSE "
         + _flag(
-            f"exists(zip_with(slice({_smooth('signal', 'win')}, 2, size(signal)), "
-            f"slice({_smooth('signal', 'win')}, 1, size(signal) - 1), (n, p) -> n - p), d -> d < -th)"
+            _let(
+                "s",
+                _smooth("signal", "win"),
+                "exists(zip_with(slice(s, 2, size(s)), slice(s, 1, size(s) - 1), (n, p) -> n - p), "
+                "d -> d < -th)",
+            )
         )
         + " END",
     ),

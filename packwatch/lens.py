@@ -21,21 +21,22 @@ def _code(prefix: str, c: Column) -> Column:
     return F.concat(F.lit(prefix), c.cast("string"))
 
 
-def _k() -> Column:
-    return F.get_json_object("props", "$.k").try_cast("int")
+def _with_k(events: DataFrame) -> DataFrame:
+    """The events with the number in their properties, read once per row."""
+    return events.withColumn("k", F.get_json_object("props", "$.k").try_cast("int"))
 
 
 def frames(events: DataFrame) -> DataFrame:
     """One telemetry frame per event."""
     user, value = F.col("user_id"), F.col("value")
-    soc_text = F.concat(_k().cast("string"), F.lit("%"))
-    return events.select(
+    soc_text = F.concat(F.col("k").cast("string"), F.lit("%"))
+    return _with_k(events).select(
         F.col("event_id").alias("frame_id"),
         user.cast("string").alias("vin"),
         F.col("ts").alias("msg_ts"),
         micros("ts").alias("msg_us"),
         F.date_format("ts", "yyyy-MM-dd").alias("dt"),
-        _k().alias("k"),
+        "k",
         soc_text.alias("soc_text"),
         percent_ratio(soc_text).alias("soc"),
         percent_number(soc_text).alias("soc_pct"),
@@ -43,15 +44,15 @@ def frames(events: DataFrame) -> DataFrame:
         value.alias("total_current"),
         (value * 10).alias("resistance"),
         value.alias("high_v"),
-        _k().cast("double").alias("low_v"),
+        F.col("k").cast("double").alias("low_v"),
         (value / 100).alias("cell_spread"),
         (user * 1000).cast("double").alias("odo"),
         F.when(F.col("event_type") == "purchase", 1.0).otherwise(0.0).alias("speed"),
         _code("P", user % 5).alias("province"),
         _code("T", user % 3).alias("vehicle_type"),
         _code("E", user % 2).alias("enterprise"),
-        (_k() % 96 + 1).alias("max_cell_num"),
-        ((F.col("event_id") + _k()) % 96 + 1).cast("int").alias("min_cell_num"),
+        (F.col("k") % 96 + 1).alias("max_cell_num"),
+        ((F.col("event_id") + F.col("k")) % 96 + 1).cast("int").alias("min_cell_num"),
     )
 
 
@@ -116,8 +117,8 @@ BOX_SIDES = {
 
 def box_units(events: DataFrame) -> DataFrame:
     """Six metrics per event, grouped by event type."""
-    value, k = F.col("value"), _k().cast("double")
-    return events.select(
+    value, k = F.col("value"), F.col("k").cast("double")
+    return _with_k(events).select(
         "event_type",
         "event_id",
         value.alias("m_value"),
@@ -132,11 +133,11 @@ def box_units(events: DataFrame) -> DataFrame:
 def warnings(events: DataFrame) -> DataFrame:
     """Every event as a warning; a vehicle may appear under two types."""
     user = F.col("user_id")
-    return events.select(
+    return _with_k(events).select(
         user.cast("string").alias("vin"),
-        _code("T", (user + F.when(_k() >= 50, 1).otherwise(0)) % 3).alias("vehicle_type"),
+        _code("T", (user + F.when(F.col("k") >= 50, 1).otherwise(0)) % 3).alias("vehicle_type"),
         _code("E", user % 2).alias("enterprise"),
-        _code("P", _k() % 5).alias("province"),
+        _code("P", F.col("k") % 5).alias("province"),
         F.col("event_type").alias("warning_type"),
         F.col("ts").alias("warning_start_time"),
     )

@@ -19,6 +19,7 @@ from pyspark.sql.window import Window
 
 from packwatch.functions.scalars import half_up, rank_fraction, rank_whole
 from packwatch.operators.keyed import hot_keys, present
+from packwatch.session import settle
 
 QUARTERS = (1, 2, 3)
 BINS = 4096
@@ -48,10 +49,10 @@ def _long(df: DataFrame, keep: Sequence[str], metrics: Sequence[str]) -> DataFra
 
 
 def _ranked(long: DataFrame, groups: Sequence[str]) -> DataFrame:
-    by = Window.partitionBy(*groups, "metric")
-    w = by.orderBy(F.col("value").asc_nulls_first())
+    w = Window.partitionBy(*groups, "metric").orderBy(F.col("value").asc_nulls_first())
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     ranked = (
-        long.withColumn("n", F.count(F.lit(1)).over(by))
+        long.withColumn("n", F.count(F.lit(1)).over(whole))
         .withColumn("rank", F.row_number().over(w))
         .withColumn("next", F.lead("value", 1, 0.0).over(w))
     )
@@ -141,9 +142,12 @@ def _holding(
 
 
 def with_fences(
-    boxes: DataFrame, factor: float = 1.5, rule: str = "quartile"
+    boxes: DataFrame,
+    factor: float = 1.5,
+    rule: str = "quartile",
+    names: tuple[str, str] = ("max_value", "min_value"),
 ) -> DataFrame:
-    """Add ``max_value`` and ``min_value``.
+    """Add the upper and the lower fence.
 
     ``rule="quartile"`` keeps the platform's own formula ``q3 +- factor * q1``;
     ``rule="iqr"`` gives the usual ``q3 + factor * iqr`` and ``q1 - factor * iqr``.
@@ -155,7 +159,7 @@ def with_fences(
         upper, lower = q3 + (q3 - q1) * factor, q1 - (q3 - q1) * factor
     else:
         raise ValueError(f"unknown fence rule {rule!r}")
-    return boxes.withColumn("max_value", upper).withColumn("min_value", lower)
+    return boxes.withColumns(dict(zip(names, (upper, lower))))
 
 
 def wide_boxes(boxes: DataFrame, groups: Sequence[str], metrics: Sequence[str]) -> DataFrame:
@@ -187,7 +191,8 @@ def outliers(
     reported group, metric and outlying unit, so that a large group stays distributed.
     """
     metrics = list(sides)
-    wide = wide_boxes(boxes, groups, metrics)
+    # one small row per group, needed for the tests and for the report
+    wide = settle(wide_boxes(boxes, groups, metrics), "boxes")
     fence = {"above": "maxvalue", "below": "minvalue"}
     limits = wide.select(
         *groups, *[F.col(f"{m}_box")[fence[s]].alias(f"{m}_limit") for m, s in sides.items()]
@@ -197,7 +202,7 @@ def outliers(
         value, limit = F.col(m), F.col(f"{m}_limit")
         return value > limit if sides[m] == "above" else value < limit
 
-    # one row of limits per group: the join strategy follows its measured size
+    # the size of the limits on disk decides whether they are broadcast
     tested = present(df, groups).select(*groups, unit, *metrics).join(limits, list(groups))
     numbers = [F.col(f"{m}_outliers") for m in metrics]
     enough = (F.least(*numbers) if how == "inner" else F.greatest(*numbers)) > 0

@@ -33,16 +33,12 @@ def cell_dispersion(
     Per cell the absolute mean and the standard deviation of (voltage - frame mean) are
     box-tested among the cells of the key; any outlier warns.
     """
-    shifted = df.withColumn("_mean", vector_mean(F.col(vector))).select(
-        *keys, F.transform(vector, lambda v: v - F.col("_mean")).alias("_shift")
-    )
+    framed = df.select(*keys, vector, vector_mean(F.col(vector)).alias("_mean"))
+    shift = F.col("voltage") - F.col("_mean")
     per_cell = (
-        cells(shifted, keys, "_shift")
+        cells(framed, [*keys, "_mean"], vector)
         .groupBy(*keys, "cell_no")
-        .agg(
-            F.abs(F.avg("voltage")).alias("mean_dev"),
-            F.stddev_samp("voltage").alias("std_dev"),
-        )
+        .agg(F.abs(F.avg(shift)).alias("mean_dev"), F.stddev_samp(shift).alias("std_dev"))
     )
     # a pack has a fixed number of cells
     boxes = quartiles(per_cell, keys, ["mean_dev", "std_dev"], small=True)

@@ -95,12 +95,15 @@ def vector_mean(v: Column) -> Column:
 
 def vector_std(v: Column, sample: bool = True) -> Column:
     """Standard deviation of an array, over n - 1 or over n."""
-    mean = vector_mean(v)
-    squares = F.aggregate(
-        F.transform(v, lambda x: (x - mean) * (x - mean)), F.lit(0.0), lambda a, x: a + x
-    )
+
+    def spread(s: Column) -> Column:
+        squares = F.transform(s["v"], lambda x: (x - s["mean"]) * (x - s["mean"]))
+        return F.aggregate(squares, F.lit(0.0), lambda a, x: a + x)
+
+    # the one-element array binds the mean, so that it is computed once per row
+    bound = F.array(F.struct(v.alias("v"), vector_mean(v).alias("mean")))
     size = F.size(v) - 1 if sample else F.size(v)
-    return F.sqrt(F.try_divide(squares, size))
+    return F.sqrt(F.try_divide(F.element_at(F.transform(bound, spread), 1), size))
 
 
 def signal_stats(value: str) -> list[Column]:

@@ -32,21 +32,22 @@ def own_rows(rows: DataFrame) -> DataFrame:
 
 def window_rows(frames: DataFrame, windows: DataFrame, disjoint: bool = False) -> DataFrame:
     """Frames within given windows (``vin, start_us, end_us``), with ``gap_us`` to the last one."""
-    found = in_windows(
-        frames, windows.select("vin", "start_us", "end_us"), ["vin"], "msg_us", "start_us", "end_us", disjoint
+    windows = windows.select("vin", "start_us", "end_us")
+    concerned = frames.join(windows.select("vin").distinct(), "vin", "left_semi")
+    cut = slices(concerned, ["vin"], "msg_us")
+    timed = scan(cut, ["vin"], ["msg_us", "frame_id"], _last=("lag", F.col("msg_us"))).drop(
+        *cut_columns(cut)
     )
-    keys = ["vin", "start_us", "end_us"]
-    cut = slices(found, keys, "msg_us")
-    before = scan(cut, keys, ["msg_us", "frame_id"], _last=("lag", F.col("msg_us")))
-    gap = F.coalesce(F.col("msg_us") - F.col("_last"), F.lit(0)).cast("long")
+    found = in_windows(timed, windows, ["vin"], "msg_us", "start_us", "end_us", disjoint)
+    inside = F.col("_last") >= F.col("start_us")
+    gap = F.when(inside, F.col("msg_us") - F.col("_last")).otherwise(0).cast("long")
     return (
-        before.withColumn("gap_us", gap)
+        found.withColumn("gap_us", gap)
         .withColumns({"on": F.lit(True), "closing": F.lit(True)})
-        .drop("_last", *cut_columns(cut))
+        .drop("_last")
     )
 
 
-
 def mode_and_charge(rows: DataFrame, describe: Sequence[str] = ("enterprise", "vehicle_type", "province")) -> DataFrame:
     """One record per session: type, ampere-hours, lowest and highest state of charge.
 

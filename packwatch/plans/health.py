@@ -16,9 +16,9 @@ ORDER = ("msg_us", "frame_id")
 
 def window_frames(frames: DataFrame, windows: DataFrame, disjoint: bool = False) -> DataFrame:
     """Frames of every requested window, both ends included, for all vehicles at once."""
-    return in_windows(
-        frames, windows.select(*WINDOW), ["vin"], "msg_us", "start_us", "end_us", disjoint
-    )
+    windows = windows.select(*WINDOW)
+    concerned = frames.join(windows.select("vin").distinct(), "vin", "left_semi")
+    return in_windows(concerned, windows, ["vin"], "msg_us", "start_us", "end_us", disjoint)
 
 
 def whole_history(frames: DataFrame) -> DataFrame:

@@ -29,7 +29,11 @@ def between(ts: str, span: tuple[date, date] | tuple[datetime, datetime]) -> Col
 def _reattached(
     counts: DataFrame, period: Sequence[str], measures: Sequence[str], total: Column
 ) -> DataFrame:
-    """Totals per vehicle and measure, with every vehicle type and enterprise of the vehicle."""
+    """Totals per vehicle and measure, with every vehicle type and enterprise of the vehicle.
+
+    One shuffle by period and vehicle serves both aggregations and their join.
+    """
+    counts = counts.repartition(*period, "vin")
     totals = counts.groupBy(*period, "vin", *measures).agg(total.alias("total"))
     owners = counts.select(*period, "vin", "vehicle_type", "enterprise").distinct()
     return totals.join(owners, [*period, "vin"]).select(
@@ -65,7 +69,11 @@ def daily_warnings(hourly: DataFrame, as_of: date | None = None) -> DataFrame:
         hourly = hourly.where(
             (F.col("year") == f"{day:%Y}") & (F.col("month") == f"{day:%m}") & (F.col("day") == f"{day:%d}")
         )
-    days = hourly.withColumn("dt", F.concat_ws("-", "year", "month", "day"))
+    days = (
+        hourly.withColumn("dt", F.concat_ws("-", "year", "month", "day"))
+        .groupBy("dt", "vin", "province", "warning_type", "vehicle_type", "enterprise")
+        .agg(F.sum("total").alias("total"))
+    )
     return _reattached(days, ["dt"], ["province", "warning_type"], F.sum("total"))
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from packwatch.functions.calendar import previous_week
 from packwatch.functions.scalars import half_up
 from packwatch.operators.boxplot import outliers, quartiles, with_fences
+from packwatch.session import settle
 
 GROUPS = ("enterprise", "province", "vehicleType")
 
@@ -77,7 +78,10 @@ def pack_exceptions(
     rule: str = "quartile",
     how: str = "inner",
 ) -> tuple[DataFrame, DataFrame]:
-    """Box values per group, and the units beyond a fence; see ``boxplot.outliers``."""
+    """Box values per group, and the units beyond a fence; see ``boxplot.outliers``.
+
+    ``means`` is read several times, so it should be a stored table.
+    """
     boxes = with_fences(quartiles(means, groups, list(sides)), rule=rule)
     return outliers(means, boxes, groups, unit, sides, how)
 
@@ -141,7 +145,7 @@ def class_limits(
         )
     )
     known = classes.select("vin", "classification").distinct()
-    classed = means.join(known, "vin")
+    classed = settle(means.join(known, "vin"), "class-means")
     by = ["enterprise", "classification", "chargeStatus"]
     boxes = with_fences(quartiles(classed, by, list(LIMITS)))
 

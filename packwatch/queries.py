@@ -12,6 +12,7 @@ from packwatch.functions import scalars as S
 from packwatch.operators import models, sessions, signals
 from packwatch.operators.boxplot import quartiles, with_fences
 from packwatch.operators.histogram import array_text
+from packwatch.session import settle
 from packwatch.plans import charging, classify, health, warnings, weekly
 from packwatch.sources.readers import clean_frames
 from packwatch.streaming import detectors
@@ -161,16 +162,14 @@ def tukey_quartiles(spark, folder):
         )
     )
     groups = ["l_returnflag", "l_linestatus"]
-    return _boxes_text(quartiles(units, groups, ["quantity", "extendedprice", "discount", "tax"]))
+    metrics = ["quantity", "extendedprice", "discount", "tax"]
+    return _boxes_text(quartiles(settle(units, "units"), groups, metrics))
 
 
 def box_fences(spark, folder):
     units = lens.box_units(_events(spark, folder))
     boxes = quartiles(units, ["event_type"], list(lens.BOX_SIDES))
-    usual = with_fences(boxes, rule="iqr").select(
-        "event_type", "metric", F.col("max_value").alias("iqr_max"), F.col("min_value").alias("iqr_min")
-    )
-    both = with_fences(boxes).join(usual, ["event_type", "metric"])
+    both = with_fences(with_fences(boxes), rule="iqr", names=("iqr_max", "iqr_min"))
     return _rounded(_boxes_text(both), 4, "max_value", "min_value", "iqr_max", "iqr_min")
 
 
@@ -221,7 +220,7 @@ def vehicle_classes(spark, folder):
         "odo", F.col("price")
     )
     base = lens.vehicles(lens.table(spark, folder, "customer"))
-    initial = _first_use(spark, folder)
+    initial = settle(_first_use(spark, folder), "first-use")
     last_month = classify.classes(frames.where(lens.before_cutoff()), initial, base)
     this_month = classify.classes(frames.where(~lens.before_cutoff()), initial, base)
     return classify.merge_classes(this_month, last_month, "1999-01")

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -42,3 +42,14 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
         base = tempfile.mkdtemp(prefix="packwatch-")
     return os.path.join(base, f"{purpose}-{uuid.uuid4().hex}")
+
+
+def settle(df: DataFrame, purpose: str) -> DataFrame:
+    """Write an intermediate table once and go on from its files.
+
+    For results that are small against their input and used several times. The files
+    survive lost executors, and their size tells the planner whether to broadcast.
+    """
+    path = work_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
