@@ -204,8 +204,8 @@ def outliers(
 
     # the size of the limits on disk decides whether they are broadcast
     tested = present(df, groups).select(*groups, unit, *metrics).join(limits, list(groups))
-    numbers = [F.col(f"{m}_outliers") for m in metrics]
-    enough = (F.least(*numbers) if how == "inner" else F.greatest(*numbers)) > 0
+    numbers = F.array(*[F.col(f"{m}_outliers") for m in metrics])
+    enough = (F.array_min(numbers) if how == "inner" else F.array_max(numbers)) > 0
     counted = (
         tested.groupBy(*groups)
         .agg(*[F.count_if(beyond(m)).alias(f"{m}_outliers") for m in metrics])

@@ -99,7 +99,7 @@ def exception_documents(
     A group with more outliers than ``page_size`` is spread over several documents, told
     apart by ``page``, each with the same boxes and its own share of the vehicles.
     """
-    most = F.greatest(*[F.col(f"{m}_outliers") for m in fields])
+    most = F.array_max(F.array(*[F.col(f"{m}_outliers") for m in fields]))
     paged = report.withColumn("_pages", F.ceil(most / page_size).cast("int"))
     vehicle = F.struct(F.col(unit).alias("vin"), F.col("outlier").alias("outliers"))
     shares = (
