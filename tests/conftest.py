@@ -26,7 +26,7 @@ def spark():
     session.stop()
 
 
-@pytest.fixture(params=[None, "3", "10"], ids=["ordinary", "hot3", "hot10"])
+@pytest.fixture(params=[None, "3"], ids=["ordinary", "hot"])
 def hot(request, spark):
     """Run a test with ordinary keys and with every key of a few rows taken as hot."""
     if request.param:
