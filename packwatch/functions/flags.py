@@ -48,7 +48,7 @@ def _smooth(a: str, win: str) -> str:
     half = f"least({win}, i, size({a}) - 1 - i)"
     return (
         f"transform(sequence(0, size({a}) - 1), i -> "
-        f"array_sort(slice({a}, i - {half} + 1, 2 * {half} + 1))[{half}])"
+        f"sort_array(slice({a}, i - {half} + 1, 2 * {half} + 1))[{half}])"
     )
 
 
@@ -63,7 +63,7 @@ def _beyond_box(a: str, factor: str) -> str:
     box = f"named_struct('q1', {_quartile('sorted', 1)}, 'q3', {_quartile('sorted', 3)})"
     reach = f"((box.q3 - box.q1) * {factor})"
     test = f"exists(sorted, v -> v < box.q1 - {reach} OR v > box.q3 + {reach})"
-    return _let("sorted", f"array_sort({a})", f"size(sorted) >= 3 AND {_let('box', box, test)}")
+    return _let("sorted", f"sort_array({a})", f"size(sorted) >= 3 AND {_let('box', box, test)}")
 
 
 def _impedance(spread: str, current: str, slow: str, fast: str) -> str:

@@ -5,8 +5,8 @@ first); between two positions it is interpolated. Groups of fewer than three row
 no first quartile and drop out.
 
 Ordinary groups are ranked with one window. A group with more than ``hot_rows`` rows is
-never sorted: it is narrowed to the few values around the wanted positions with two
-rounds of value histograms, which combine on the map side.
+never sorted: it is narrowed to the few values around the wanted positions with rounds
+of value histograms, which combine on the map side.
 """
 
 from __future__ import annotations
@@ -18,12 +18,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from packwatch.functions.scalars import half_up, rank_fraction, rank_whole
-from packwatch.operators.keyed import hot_keys, present
+from packwatch.operators.keyed import hot_keys, hot_rows, present
 from packwatch.session import settle
 
 QUARTERS = (1, 2, 3)
 BINS = 4096
-LEVELS = 2
+ROUNDS = 12
 
 
 def quartiles(
@@ -34,14 +34,16 @@ def quartiles(
     ``small=True`` states that no group can be large, which saves measuring them.
     """
     df = present(df, groups).select(*groups, *[F.col(m).cast("double").alias(m) for m in metrics])
-    hot = None if small else hot_keys(df, groups)
+    ends = [F.struct(F.min(m).alias("lo"), F.max(m).alias("hi")).alias(f"_{m}") for m in metrics]
+    hot = None if small else hot_keys(df, groups, *ends)
     if hot is None:
         return _ranked(_long(df, groups, metrics), groups)
-    ordinary = df.join(F.broadcast(hot.select(*groups)), list(groups), "left_anti")
-    large = df.join(F.broadcast(hot), list(groups))
-    return _ranked(_long(ordinary, groups, metrics), groups).unionByName(
-        _narrowed(_long(large, [*groups, "n"], metrics), groups)
-    )
+    known = F.broadcast(hot.select(*groups))
+    ordinary = _long(df.join(known, list(groups), "left_anti"), groups, metrics)
+    large = _long(df.join(known, list(groups), "left_semi"), groups, metrics)
+    entry = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(f"_{m}.*")) for m in metrics])
+    cells = hot.select(*groups, "n", F.inline(entry).alias("metric", "_lo", "_hi"))
+    return _ranked(ordinary, groups).unionByName(_narrowed(large, cells, groups))
 
 
 def _long(df: DataFrame, keep: Sequence[str], metrics: Sequence[str]) -> DataFrame:
@@ -69,21 +71,23 @@ def _ranked(long: DataFrame, groups: Sequence[str]) -> DataFrame:
     )
 
 
-def _narrowed(long: DataFrame, groups: Sequence[str]) -> DataFrame:
-    by = [*groups, "metric"]
+def _narrowed(long: DataFrame, cells: DataFrame, groups: Sequence[str]) -> DataFrame:
+    """Quartiles of hot groups, given their sizes and value ranges.
+
+    Each round counts the values of a cell in equal-width bins and keeps the bins that
+    hold a wanted rank, until these have no more than ``hot_rows`` rows. There are at most
+    six cells per hot group and metric, so their broadcasts are bounded; they are settled
+    so that every later step sees the same ones.
+    """
+    keys = by = [*groups, "metric"]
     whole = [rank_whole(F.col("n"), q) for q in QUARTERS]
     ranks = F.array_distinct(F.array(*whole, *[r + 1 for r in whole]))
-    # cells: at most six per hot group and metric, so their broadcasts are bounded;
     # "left" is the rank counted from the start of the cell
-    cells = (
-        long.groupBy(*by, "n")
-        .agg(F.min("value").alias("_lo"), F.max("value").alias("_hi"))
-        .withColumn(
-            "_ranks", F.transform(ranks, lambda r: F.struct(r.alias("rank"), r.alias("left")))
-        )
+    cells = cells.withColumn(
+        "_ranks", F.transform(ranks, lambda r: F.struct(r.alias("rank"), r.alias("left")))
     )
-    rows, keys = long.drop("n"), by
-    for level in range(LEVELS):
+    rows = long
+    for level in range(ROUNDS):
         cell = f"_bin{level}"
         width = F.nullif(F.col("_hi") - F.col("_lo"), F.lit(0.0))
         place = F.floor((F.col("value") - F.col("_lo")) / width * BINS)
@@ -98,8 +102,11 @@ def _narrowed(long: DataFrame, groups: Sequence[str]) -> DataFrame:
         counted = rows.groupBy(*keys, cell).agg(
             F.count(F.lit(1)).alias("_c"), F.min("value").alias("_lo"), F.max("value").alias("_hi")
         )
-        cells = _holding(counted, cells, keys, cell)
+        cells = settle(_holding(counted, cells, keys, cell), "cells")
         keys = [*keys, cell]
+        largest = cells.where(F.col("_lo") < F.col("_hi")).agg(F.max("_c")).first()[0]
+        if largest is None or largest <= hot_rows(long):
+            break
     values = (
         rows.join(F.broadcast(cells.select(*keys)), keys)
         .groupBy(*keys, "value")
@@ -134,10 +141,10 @@ def _holding(
     )
     return (
         counted.withColumn("_before", before)
-        .join(cells.select(*keys, "n", "_ranks"), list(keys))
+        .join(F.broadcast(cells.select(*keys, "n", "_ranks")), list(keys))
         .withColumn("_ranks", moved)
         .where(F.size("_ranks") > 0)
-        .drop("_c", "_before")
+        .drop("_before")
     )
 
 

@@ -244,7 +244,7 @@ def sampling_inputs(
     """
     cut = slices(df, keys, order[0])
     numbered = positions(cut, keys, order, "_pos").drop(*cut_columns(cut))
-    signal = F.array_sort(F.collect_list(F.struct("_pos", high_cell, low_cell)))
+    signal = F.sort_array(F.collect_list(F.struct("_pos", high_cell, low_cell)))
     return (
         numbered.withColumn("piece", F.floor((F.col("_pos") - 1) / piece))
         .groupBy(*keys, "piece")

@@ -113,7 +113,7 @@ def last_n(
 def sorted_times(recent: Column | str) -> Column:
     """All 2 n start and end times of ``recent``, ascending."""
     both = F.transform(recent, lambda s: F.array(s["start_us"], s["end_us"]))
-    return F.array_sort(F.flatten(both))
+    return F.sort_array(F.flatten(both))
 
 
 def followed_by(

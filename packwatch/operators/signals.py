@@ -42,7 +42,7 @@ def gaps(
 
 def median_of(values: Column) -> Column:
     """Middle element of an array of odd length."""
-    return F.element_at(F.array_sort(values), ((F.size(values) + 1) / 2).cast("int"))
+    return F.element_at(F.sort_array(values), ((F.size(values) + 1) / 2).cast("int"))
 
 
 def smoothed_steps(
@@ -69,12 +69,12 @@ def smoothed_steps(
         placed, own, by, sort = cut, F.lit(True), list(keys), list(order)
     w = Window.partitionBy(*by).orderBy(*sort)
     around = F.collect_list(value).over(w.rowsBetween(-win, win))
-    left = F.count(value).over(w.rowsBetween(-win, -1))
-    right = F.count(value).over(w.rowsBetween(1, win))
-    half = F.least("_left", "_right")
+    left = F.least(F.lit(win), F.row_number().over(w) - 1)
+    right = F.size("_around") - 1 - F.col("_left")
+    half = F.least(F.col("_left"), right)
     middle = F.slice("_around", F.col("_left") - half + 1, half * 2 + 1)
     return (
-        placed.withColumns({"_around": around, "_left": left, "_right": right})
+        placed.withColumns({"_around": around, "_left": left})
         .withColumn("smooth", median_of(middle))
         .withColumn("step", F.col("smooth") - F.lag("smooth").over(w))
         .where(own)

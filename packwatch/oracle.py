@@ -440,7 +440,7 @@ scored AS (
     CASE WHEN greatest(high_path, low_path) > 0
       THEN least(high_path, low_path) / greatest(high_path, low_path) END AS ratio FROM paths
 )
-SELECT vin, {up('high_path', 6)} AS high_path, {up('low_path', 6)} AS low_path,
+SELECT vin, {up('high_path', 3)} AS high_path, {up('low_path', 3)} AS low_path,
   {up('mean_change', 6)} AS mean_change, {up('ratio', 6)} AS ratio,
   CASE WHEN mean_change > 0.005 AND ratio < 0.8 THEN '1' ELSE '0' END AS is_warning FROM scored""",
     "cell_dispersion": f"""WITH entries AS (

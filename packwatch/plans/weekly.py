@@ -108,7 +108,7 @@ def exception_documents(
         .groupBy(*groups, "page")
         .agg(
             *[
-                F.array_sort(F.collect_list(F.when(F.col("metric") == m, vehicle))).alias(m)
+                F.sort_array(F.collect_list(F.when(F.col("metric") == m, vehicle))).alias(m)
                 for m in fields
             ]
         )

@@ -339,7 +339,8 @@ def resistance_drop(spark, folder):
 def fluctuation_flag(spark, folder):
     frames = _frames(spark, folder).select("vin", "msg_us", "frame_id", "high_v", "low_v")
     found = models.voltage_fluctuation(frames, ["vin"], ORDER, "high_v", "low_v", 0.8)
-    return _rounded(found, 6, "high_path", "low_path", "mean_change", "ratio")
+    found = _rounded(found, 3, "high_path", "low_path")
+    return _rounded(found, 6, "mean_change", "ratio")
 
 
 def cell_dispersion(spark, folder):
