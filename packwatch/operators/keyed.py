@@ -6,8 +6,9 @@ no key has more than ``hot_rows`` rows, plain windows follow. Otherwise the hot
 cut into slices of the order column; windows then run per (key, slice), and what a slice
 needs from its neighbours is carried over from one summary row per slice.
 
-Bounds: of N rows at most N / hot_rows keys are hot, with at most 2 N / hot_rows slices
-together. The list of hot keys is therefore small enough to fetch and to broadcast.
+Bounds: of N rows at most N / hot_rows keys are hot, with at most 8 N / hot_rows slices
+together. The list of hot keys is therefore small enough to fetch and to broadcast; the
+slice summaries are joined on the partitioning that the windows already have.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from pyspark.sql.window import Window, WindowSpec
 
 HOT_ROWS_SETTING = "spark.packwatch.hotRows"
 HOT_ROWS = 4_000_000
+FINER = 4
 
 
 def hot_rows(df: DataFrame) -> int:
@@ -59,10 +61,12 @@ def slices(
     hot = hot_keys(source, keys, F.min(at).alias("_lo"), span)
     if hot is None:
         return df
-    pieces = F.ceil(F.col("n") / hot_rows(df)).alias("_pieces")
+    # finer than needed on average, as rows do not spread evenly over the order column
+    pieces = (F.ceil(F.col("n") / hot_rows(df)) * FINER).alias("_pieces")
     offset = (F.col(at) - F.col("_lo")).cast("double")
     piece = F.floor(offset * F.col("_pieces") / F.col("_span"))
-    cut = F.greatest(F.least(F.col("_pieces") - 1, piece), F.lit(0))
+    last = F.col("_pieces") - 1
+    cut = F.greatest(F.least(last, piece), F.lit(0))
     return (
         df.join(F.broadcast(hot.select(*keys, "_lo", "_span", pieces)), list(keys), "left")
         .withColumn("_hot", F.col("_pieces").isNotNull())
@@ -161,27 +165,32 @@ def runs(
     on: str,
     at: str,
     keep: Sequence[str] = (),
+    label: Sequence[str] = (),
 ) -> DataFrame:
     """Runs of consecutive rows on which the boolean column ``on`` holds.
 
     Adds ``run_start`` (``at`` of the row that opened the latest run), ``opening``,
     ``closing`` (first row after a run) and ``prev`` (the columns ``on`` and ``keep`` of
-    the previous row of the key).
+    the previous row of the key). The ``label`` columns take the values of the row that
+    opened the run, so that they can be grouping keys of the run.
     """
     w, over, position = in_slice(df, keys, order), across(keys), F.struct(*order)
-    row = F.struct(on, *keep)
+    row, start = F.struct(on, *keep), F.struct(F.col(at).alias("at"), *label)
     # the first row of a hot slice waits for the carry, that of an ordinary key opens
     unknown = ~F.col("_hot") if is_sliced(df) else F.lit(True)
     opens_inside = F.col(on) & F.coalesce(~F.col(f"_prev.{on}"), unknown)
     inner = (
         df.withColumn("_prev", F.lag(row).over(w))
-        .withColumn("_opened", F.when(opens_inside, F.col(at)))
+        .withColumn("_opened", F.when(opens_inside, start))
         .withColumn("_run", F.last("_opened", ignorenulls=True).over(_so_far(w)))
     )
     was_on = F.coalesce(F.col(f"prev.{on}"), F.lit(False))
+    own = [c for c in df.columns if c not in label]
+    run = F.coalesce("_run", "_carry_start")
     found = [
         F.col("prev"),
-        F.coalesce("_run", "_carry_start").alias("run_start"),
+        run["at"].alias("run_start"),
+        *[run[c].alias(c) for c in label],
         (F.col(on) & ~was_on).alias("opening"),
         (~F.col(on) & was_on).alias("closing"),
     ]
@@ -189,7 +198,7 @@ def runs(
         return (
             inner.withColumnRenamed("_prev", "prev")
             .withColumn("_carry_start", F.lit(None))
-            .select(*df.columns, *found)
+            .select(*own, *found)
         )
     at_slice = [*keys, "_slice"]
     summary = (
@@ -197,9 +206,9 @@ def runs(
         .groupBy(*at_slice)
         .agg(
             F.min_by(on, position).alias("_head_on"),
-            F.min(at).alias("_head_at"),
+            F.min_by(start, position).alias("_head_at"),
             F.max_by(row, position).alias("_tail"),
-            F.max("_opened").alias("_last_opened"),
+            F.max_by("_opened", F.when(F.col("_opened").isNotNull(), position)).alias("_last_opened"),
         )
         .withColumn("_prev_tail", F.lag("_tail").over(over))
         .withColumn(
@@ -221,7 +230,7 @@ def runs(
     return (
         inner.join(summary, at_slice, "left")
         .withColumn("prev", F.coalesce("_prev", "_prev_tail"))
-        .select(*df.columns, *found)
+        .select(*own, *found)
     )
 
 

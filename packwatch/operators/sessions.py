@@ -33,10 +33,11 @@ def session_rows(
     at: str = "msg_us",
     tie: str = "frame_id",
     keep: Sequence[str] = (),
+    label: Sequence[str] = (),
 ) -> DataFrame:
-    """Frames with the session they belong to: ``run_start``, ``opening``, ``closing``, ``prev``."""
+    """Frames with the session they belong to; see ``keyed.runs`` for the added columns."""
     cut = slices(frames.withColumn("on", F.coalesce(on, F.lit(False))), keys, at)
-    return runs(cut, keys, [at, "on", tie], "on", at, keep)
+    return runs(cut, keys, [at, "on", tie], "on", at, keep, label)
 
 
 def sessions(

@@ -14,79 +14,115 @@ from packwatch.functions.scalars import US_PER_HOUR, band
 from packwatch.operators.histogram import CELLS, CURRENT_BUCKETS, CURRENT_STEP, filled_histograms
 from packwatch.operators.keyed import cut_columns, in_windows, scan, slices
 from packwatch.operators.models import flag, session_gaps
-from packwatch.operators.sessions import crossing, last_n, sessions
+from packwatch.operators.sessions import crossing, last_n, session_rows, sessions
 
 SLOW, FAST = "0", "1"
 SESSION = ("vin", "start_us")
 
 
+# columns of the earliest frame that describe a session
+DESCRIBE = ("enterprise", "vehicle_type", "province")
+# the same for given windows, which also have an end of their own
+WINDOW = (*DESCRIBE, "window_end_us")
+
+
 def charge_type(mean_current: Column, peak_current: Column) -> Column:
     return F.when((mean_current >= 30) | (peak_current >= 70), FAST).otherwise(SLOW)
 
 
-def own_rows(rows: DataFrame) -> DataFrame:
-    """Frames of the closed sessions found by ``session_rows``, with ``gap_us`` to the last one."""
+def own_rows(frames: DataFrame, on: Column, describe: Sequence[str] = DESCRIBE) -> DataFrame:
+    """Frames of the sessions of each vehicle, with ``gap_us`` to the last frame.
+
+    The ``describe`` columns take the values of the first frame of the session.
+    """
+    rows = session_rows(frames, on, keep=["msg_us"], label=describe)
     gap = F.when(F.col("opening"), F.lit(0)).otherwise(F.col("msg_us") - F.col("prev.msg_us"))
-    return rows.withColumn("gap_us", gap.cast("long")).withColumn("start_us", F.col("run_start"))
+    return rows.withColumns({"gap_us": gap.cast("long"), "start_us": F.col("run_start")})
+
 
+def window_rows(
+    frames: DataFrame,
+    windows: DataFrame,
+    disjoint: bool = False,
+    describe: Sequence[str] = DESCRIBE,
+) -> DataFrame:
+    """The same for given windows (``vin, start_us, end_us``), which may overlap.
 
-def window_rows(frames: DataFrame, windows: DataFrame, disjoint: bool = False) -> DataFrame:
-    """Frames within given windows (``vin, start_us, end_us``), with ``gap_us`` to the last one."""
-    windows = windows.select("vin", "start_us", "end_us")
+    ``window_end_us`` tells windows of one start apart.
+    """
+    key = ["vin", "start_us", "window_end_us"]
+    windows = windows.select("vin", "start_us", F.col("end_us").alias("window_end_us"))
     concerned = frames.join(windows.select("vin").distinct(), "vin", "left_semi")
     cut = slices(concerned, ["vin"], "msg_us")
     timed = scan(cut, ["vin"], ["msg_us", "frame_id"], _last=("lag", F.col("msg_us"))).drop(
         *cut_columns(cut)
     )
-    found = in_windows(timed, windows, ["vin"], "msg_us", "start_us", "end_us", disjoint)
-    inside = F.col("_last") >= F.col("start_us")
-    gap = F.when(inside, F.col("msg_us") - F.col("_last")).otherwise(0).cast("long")
+    found = in_windows(timed, windows, ["vin"], "msg_us", "start_us", "window_end_us", disjoint)
+    follows = F.coalesce(F.col("_last") >= F.col("start_us"), F.lit(False))
+    gap = F.when(follows, F.col("msg_us") - F.col("_last")).otherwise(0).cast("long")
+    first = found.where(~follows).select(*key, *describe)
     return (
-        found.withColumn("gap_us", gap)
-        .withColumns({"on": F.lit(True), "closing": F.lit(True)})
+        found.drop(*describe)
+        .withColumns({"gap_us": gap, "on": F.lit(True), "closing": F.lit(True)})
+        .join(first, key)
         .drop("_last")
     )
 
 
-def mode_and_charge(rows: DataFrame, describe: Sequence[str] = ("enterprise", "vehicle_type", "province")) -> DataFrame:
+def _totals() -> dict[str, tuple]:
+    """Aggregates of a session, each with the function that makes and merges it."""
+    on = F.col("on")
+
+    def charging(c: Column) -> Column:
+        return F.when(on, c)
+
+    current = F.col("total_current")
+    return {
+        "end_us": (F.max, charging(F.col("msg_us"))),
+        "start_soc": (F.min, charging(F.col("soc"))),
+        "end_soc": (F.max, charging(F.col("soc"))),
+        "ampere_hours": (F.sum, charging(F.col("gap_us") / US_PER_HOUR * current)),
+        "_current": (F.sum, charging(current)),
+        "_frames": (F.sum, charging(F.when(current.isNotNull(), 1))),
+        "_peak": (F.max, charging(current)),
+        "_closed": (F.max, F.col("closing")),
+    }
+
+
+def _records(found: DataFrame, *columns: str) -> DataFrame:
+    mean = F.try_divide(F.col("_current"), F.col("_frames"))
+    kind = charge_type(mean, F.col("_peak")).alias("charge_type")
+    values = ["end_us", "start_soc", "end_soc", "ampere_hours", kind]
+    return found.where("_closed").select(*SESSION, *values, *columns)
+
+
+def mode_and_charge(rows: DataFrame, describe: Sequence[str] = DESCRIBE) -> DataFrame:
     """One record per session: type, ampere-hours, lowest and highest state of charge.
 
-    ``describe`` columns are those of the earliest frame. One aggregation over the rows of
-    :func:`own_rows` or :func:`window_rows`.
+    One hash aggregation over the rows of :func:`own_rows` or :func:`window_rows`.
     """
-    on = F.col("on")
-    current = F.when(on, F.col("total_current"))
-    hours = F.col("gap_us") / US_PER_HOUR
-    return (
-        rows.where(on | F.col("closing"))
-        .groupBy(*SESSION)
-        .agg(
-            F.max(F.when(on, F.col("msg_us"))).alias("end_us"),
-            F.min(F.when(on, F.col("soc"))).alias("start_soc"),
-            F.max(F.when(on, F.col("soc"))).alias("end_soc"),
-            F.sum(F.when(on, hours * F.col("total_current"))).alias("ampere_hours"),
-            charge_type(F.avg(current), F.max(current)).alias("charge_type"),
-            F.bool_or("closing").alias("_closed"),
-            F.min_by(F.when(on, F.struct(*describe)), F.when(on, F.struct("msg_us", "frame_id"))).alias("_first"),
-        )
-        .where("_closed")
-        .select(*SESSION, "end_us", "start_soc", "end_soc", "ampere_hours", "charge_type", "_first.*")
-    )
+    totals = [make(c).alias(name) for name, (make, c) in _totals().items()]
+    grouped = rows.where(F.col("on") | F.col("closing")).groupBy(*SESSION, *describe)
+    return _records(grouped.agg(*totals), *describe)
 
 
-def cell_histograms(rows: DataFrame) -> DataFrame:
-    """How often each cell was the highest and the lowest one, per session."""
-    values = {"max_cells": F.col("max_cell_num"), "min_cells": F.col("min_cell_num")}
-    return filled_histograms(rows.where("on"), SESSION, values, CELLS)
-
+def charge_records(
+    rows: DataFrame, base: DataFrame, describe: Sequence[str] = DESCRIBE
+) -> DataFrame:
+    """The full charge record of each session, with the licence plate of the vehicle.
 
-def charge_records(rows: DataFrame, base: DataFrame) -> DataFrame:
-    """The full charge record of each session, with the licence plate of the vehicle."""
-    return (
-        mode_and_charge(rows)
-        .join(cell_histograms(rows), list(SESSION))
-        .join(base.select("vin", "license_plate"), "vin")
+    ``max_cells`` and ``min_cells`` tell how often each cell had the highest and the
+    lowest voltage. They come from the same pass over the rows as the other values.
+    """
+    on = F.col("on")
+    cells = {
+        "max_cells": F.when(on, F.col("max_cell_num")),
+        "min_cells": F.when(on, F.col("min_cell_num")),
+    }
+    found = filled_histograms(
+        rows.where(on | F.col("closing")), [*SESSION, *describe], cells, CELLS, _totals()
     )
+    return _records(found, *describe, *cells).join(base.select("vin", "license_plate"), "vin")
 
 
 def current_histograms(

@@ -31,12 +31,21 @@ def _frames(spark: SparkSession, folder: str) -> DataFrame:
     return lens.frames(_events(spark, folder))
 
 
-def _session_rows(spark: SparkSession, folder: str, *columns: str, keep: tuple[str, ...] = ()) -> DataFrame:
+def _session_rows(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
     """Frames with their session, carrying only the columns the query needs."""
     frames = _frames(spark, folder).select(
         "vin", "msg_us", "frame_id", "charge_status", "soc_pct", *columns
     )
-    return sessions.session_rows(frames, lens.charging(), keep=keep)
+    return sessions.session_rows(frames, lens.charging())
+
+
+def _charge_rows(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
+    frames = _frames(spark, folder).select(
+        *["vin", "msg_us", "frame_id", "charge_status", "soc", "total_current"],
+        *charging.DESCRIBE,
+        *columns,
+    )
+    return charging.own_rows(frames, lens.charging())
 
 
 def _rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
@@ -259,23 +268,13 @@ def charge_end_pattern(spark, folder):
 
 
 def charge_mode_ah(spark, folder):
-    rows = _session_rows(
-        spark, folder, "soc", "total_current", "enterprise", "vehicle_type", "province", keep=("msg_us",)
-    )
-    records = charging.mode_and_charge(charging.own_rows(rows))
-    return _rounded(records, 6, "ampere_hours")
+    return _rounded(charging.mode_and_charge(_charge_rows(spark, folder)), 6, "ampere_hours")
 
 
 def cell_histogram(spark, folder):
-    rows = _session_rows(
-        spark,
-        folder,
-        *["soc", "total_current", "enterprise", "vehicle_type", "province", "max_cell_num", "min_cell_num"],
-        keep=("msg_us",),
-    )
+    rows = _charge_rows(spark, folder, "max_cell_num", "min_cell_num")
     base = lens.vehicles(lens.table(spark, folder, "customer"))
-    records = charging.charge_records(charging.own_rows(rows), base)
-    return records.select(
+    return charging.charge_records(rows, base).select(
         "vin",
         "start_us",
         "license_plate",
@@ -286,10 +285,7 @@ def cell_histogram(spark, folder):
 
 
 def current_histogram(spark, folder):
-    rows = _session_rows(
-        spark, folder, "soc", "total_current", "enterprise", "vehicle_type", "province", keep=("msg_us",)
-    )
-    records = charging.mode_and_charge(charging.own_rows(rows))
+    records = charging.mode_and_charge(_charge_rows(spark, folder))
     found = charging.current_histograms(_frames(spark, folder), records, disjoint=True)
     return found.withColumn("frequency", array_text("frequency"))
 

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from packwatch.operators.keyed import cut_columns, positions, slices
+from packwatch.operators.keyed import is_sliced, positions, slices
 from packwatch.operators.sessions import crossing, followed_by, last_n, session_rows, sessions
 from packwatch.schemas import NUMBER, TEXT, WHOLE, struct
 from packwatch.session import work_folder
@@ -33,7 +33,6 @@ MEMBER = struct(start_us=WHOLE, end_us=WHOLE)
 EMISSION = struct(vin=TEXT, start_us=WHOLE, recent=T.ArrayType(MEMBER))
 MATCH = struct(vin=TEXT, msg_us=WHOLE, next_at=WHOLE)
 PENDING = struct(vin=TEXT, msg_us=WHOLE, frame_id=WHOLE, first=FLAG, then=FLAG)
-MARK = struct(latest_us=WHOLE)
 
 ONCE = {"availableNow": True}
 
@@ -142,9 +141,11 @@ def last_n_step(ledger: Ledger, on: Column, n: int) -> Callable[[DataFrame, int]
         fresh = crossing(closed).select("vin", "start_us", "end_us").withColumn("fresh", F.lit(True))
         known = ledger.read(spark, "latest", struct(vin=TEXT, start_us=WHOLE, end_us=WHOLE), number - 1)
         both = fresh.unionByName(known.withColumn("fresh", F.lit(False)))
-        grown = last_n(slices(both, ["vin"], "start_us"), n)
-        ledger.write(grown.where("fresh").select(*EMISSION.names), "emitted", number)
-        backwards = slices(both.withColumn("_back", -F.col("start_us")), ["vin"], "_back")
+        cut = slices(both, ["vin"], "start_us")
+        ledger.write(last_n(cut, n).where("fresh").select(*EMISSION.names), "emitted", number)
+        backwards = both.withColumn("_back", -F.col("start_us"))
+        if is_sliced(cut):
+            backwards = slices(backwards, ["vin"], "_back")
         latest = positions(backwards, ["vin"], ["_back"], "_pos").where(F.col("_pos") < n)
         ledger.write(latest.select("vin", "start_us", "end_us"), "latest", number)
 
@@ -172,18 +173,18 @@ def pattern_step(
 
     def step(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        seen = ledger.read(spark, "marks", MARK, number - 1).first()
         rows = batch.select(
             "vin", "msg_us", "frame_id", first.alias("first"), then.alias("then")
         )
-        if seen is not None and seen.latest_us is not None:
-            rows = rows.where(F.col("msg_us") >= seen.latest_us - delay_us)
-        newest = batch.agg(F.max("msg_us").alias("m")).first().m
-        known = [m for m in (newest, seen.latest_us if seen else None) if m is not None]
-        latest = max(known, default=None)
-        ledger.write(spark.createDataFrame([(latest,)], MARK), "marks", number)
+        known = ledger.read(spark, "pending", PENDING, number - 1)
+        # the latest row seen is always among the pending ones
+        seen = known.agg(F.max("msg_us").alias("t")).first().t
+        newest = rows.agg(F.max("msg_us").alias("t")).first().t
+        if seen is not None:
+            rows = rows.where(F.col("msg_us") >= seen - delay_us)
+        latest = max((t for t in (seen, newest) if t is not None), default=None)
         final_before = F.lit(latest).cast("long") - delay_us
-        both = rows.unionByName(ledger.read(spark, "pending", PENDING, number - 1))
+        both = rows.unionByName(known)
         matched = matches(both).where(F.col("next_at") < final_before)
         ledger.write(matched, "emitted", number)
         is_final = F.col("msg_us") < final_before

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from packwatch.plans.charging import charge_records, window_rows
+from packwatch.plans.charging import WINDOW, charge_records, window_rows
 from packwatch.sources.writers import on_each_batch, write_documents
 
 Model = Callable[[DataFrame], DataFrame]
@@ -49,6 +49,7 @@ def record_charges(
 
     def model(batch: DataFrame) -> DataFrame:
         rows = window_rows(frames, notified_windows(batch))
-        return charge_records(rows, base)
+        found = charge_records(rows, base, WINDOW)
+        return found.withColumn("end_us", F.col("window_end_us")).drop("window_end_us")
 
     return run_for_windows(notifications, model, path, "charge_record", checkpoint)

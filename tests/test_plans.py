@@ -175,8 +175,7 @@ def charge_frames(spark, currents, step=US_PER_HOUR, cells=(1, 96, 97)):
 
 def record(spark, currents):
     frames = charge_frames(spark, currents)
-    rows = charging.own_rows(session_rows(frames, F.col("charge_status") == "1", keep=("msg_us",)))
-    own = charging.mode_and_charge(rows).first()
+    own = charging.mode_and_charge(charging.own_rows(frames, F.col("charge_status") == "1")).first()
     windows = spark.createDataFrame([("v", 0, (len(currents) - 1) * US_PER_HOUR)], "vin string, start_us long, end_us long")
     given = charging.mode_and_charge(charging.window_rows(frames, windows)).first()
     assert own == given
@@ -194,7 +193,7 @@ def test_charge_record(spark, hot):
 
 def test_cell_histograms(spark):
     frames = charge_frames(spark, [1.0] * 7)
-    rows = charging.own_rows(session_rows(frames, F.col("charge_status") == "1", keep=("msg_us",)))
+    rows = charging.own_rows(frames, F.col("charge_status") == "1")
     base = spark.createDataFrame([("v", "plate")], "vin string, license_plate string")
     row = charging.charge_records(rows, base).first()
     assert len(row.max_cells) == len(row.min_cells) == 96
