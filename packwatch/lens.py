@@ -7,8 +7,6 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from packwatch.functions.scalars import micros, percent_number, percent_ratio
-
 CHARGING_EVENTS = ("click", "view", "signup")
 CUTOFF = "1999-01-01"
 
@@ -23,36 +21,39 @@ def _code(prefix: str, c: Column) -> Column:
 
 def _with_k(events: DataFrame) -> DataFrame:
     """The events with the number in their properties, read once per row."""
-    return events.withColumn("k", F.get_json_object("props", "$.k").try_cast("int"))
+    return events.selectExpr("*", "try_cast(get_json_object(props, '$.k') AS INT) AS k")
 
 
 def frames(events: DataFrame) -> DataFrame:
     """One telemetry frame per event."""
-    user, value = F.col("user_id"), F.col("value")
-    soc_text = F.concat(F.col("k").cast("string"), F.lit("%"))
-    return _with_k(events).select(
-        F.col("event_id").alias("frame_id"),
-        user.cast("string").alias("vin"),
-        F.col("ts").alias("msg_ts"),
-        micros("ts").alias("msg_us"),
-        F.date_format("ts", "yyyy-MM-dd").alias("dt"),
-        "k",
-        soc_text.alias("soc_text"),
-        percent_ratio(soc_text).alias("soc"),
-        percent_number(soc_text).alias("soc_pct"),
-        F.when(F.col("event_type").isin(*CHARGING_EVENTS), "1").otherwise("0").alias("charge_status"),
-        value.alias("total_current"),
-        (value * 10).alias("resistance"),
-        value.alias("high_v"),
-        F.col("k").cast("double").alias("low_v"),
-        (value / 100).alias("cell_spread"),
-        (user * 1000).cast("double").alias("odo"),
-        F.when(F.col("event_type") == "purchase", 1.0).otherwise(0.0).alias("speed"),
-        _code("P", user % 5).alias("province"),
-        _code("T", user % 3).alias("vehicle_type"),
-        _code("E", user % 2).alias("enterprise"),
-        (F.col("k") % 96 + 1).alias("max_cell_num"),
-        ((F.col("event_id") + F.col("k")) % 96 + 1).cast("int").alias("min_cell_num"),
+    charging = ", ".join(f"'{e}'" for e in CHARGING_EVENTS)
+    return (
+        _with_k(events)
+        .selectExpr("*", "concat(k, '%') AS soc_text")
+        .selectExpr(
+            "event_id AS frame_id",
+            "cast(user_id AS STRING) AS vin",
+            "ts AS msg_ts",
+            "unix_micros(cast(ts AS TIMESTAMP)) AS msg_us",
+            "date_format(ts, 'yyyy-MM-dd') AS dt",
+            "k",
+            "soc_text",
+            "try_cast(substring(soc_text, 1, length(soc_text) - 1) AS DOUBLE) / 100 AS soc",
+            "try_cast(substring(soc_text, 1, length(soc_text) - 1) AS DOUBLE) AS soc_pct",
+            f"CASE WHEN event_type IN ({charging}) THEN '1' ELSE '0' END AS charge_status",
+            "value AS total_current",
+            "value * 10 AS resistance",
+            "value AS high_v",
+            "cast(k AS DOUBLE) AS low_v",
+            "value / 100 AS cell_spread",
+            "cast(user_id * 1000 AS DOUBLE) AS odo",
+            "CASE WHEN event_type = 'purchase' THEN 1D ELSE 0D END AS speed",
+            "concat('P', user_id % 5) AS province",
+            "concat('T', user_id % 3) AS vehicle_type",
+            "concat('E', user_id % 2) AS enterprise",
+            "k % 96 + 1 AS max_cell_num",
+            "cast((event_id + k) % 96 + 1 AS INT) AS min_cell_num",
+        )
     )
 
 
@@ -62,45 +63,45 @@ def charging() -> Column:
 
 def raw_frames(events: DataFrame) -> DataFrame:
     """Frames as the raw JSON documents of the first layer."""
-    f = frames(events)
     fields = {
-        "vin": F.col("vin"),
-        "msgTime": F.floor(F.col("msg_us") / 1000).cast("string"),
-        "speed": F.col("speed"),
-        "odo": F.col("odo"),
-        "chargeStatus": F.col("charge_status"),
-        "maxCellVoltageNum": F.col("max_cell_num").cast("string"),
-        "minCellVoltageNum": F.col("min_cell_num").cast("string"),
-        "cellVoltage": F.concat(F.lit("["), F.col("high_v").cast("string"), F.lit(",3.5]")),
-        "resistance": F.col("resistance").cast("string"),
-        "province": F.col("province"),
-        "vehicleType": F.col("vehicle_type"),
-        "enterprise": F.col("enterprise"),
-        "totalCurrent": F.col("total_current"),
-        "soc": F.col("soc_text"),
+        "vin": "vin",
+        "msgTime": "cast(floor(msg_us / 1000) AS STRING)",
+        "speed": "speed",
+        "odo": "odo",
+        "chargeStatus": "charge_status",
+        "maxCellVoltageNum": "cast(max_cell_num AS STRING)",
+        "minCellVoltageNum": "cast(min_cell_num AS STRING)",
+        "cellVoltage": "concat('[', high_v, ',3.5]')",
+        "resistance": "cast(resistance AS STRING)",
+        "province": "province",
+        "vehicleType": "vehicle_type",
+        "enterprise": "enterprise",
+        "totalCurrent": "total_current",
+        "soc": "soc_text",
     }
-    document = F.to_json(F.struct(*[c.alias(name) for name, c in fields.items()]))
-    return f.select("frame_id", document.alias("data"), "dt")
+    document = ", ".join(f"'{name}', {value}" for name, value in fields.items())
+    return frames(events).selectExpr(
+        "frame_id", f"to_json(named_struct({document})) AS data", "dt"
+    )
 
 
 def weekly_frames(events: DataFrame) -> DataFrame:
     """Frames under the names of the clean layer, as the weekly statistics read them."""
-    k = F.col("k").cast("double")
-    return frames(events).select(
+    return frames(events).selectExpr(
         "vin",
         "msg_ts",
         "dt",
         "province",
         "enterprise",
-        F.col("vehicle_type").alias("vehicleType"),
-        F.col("charge_status").alias("chargeStatus"),
-        F.col("high_v").alias("differenceCellVoltage"),
-        k.alias("maxProbeTemperature"),
-        (F.col("high_v") / 10).alias("minProbeTemperature"),
-        (F.col("high_v") * k / 100).alias("maxTemperatureRate"),
-        ((k + F.col("high_v")) / 2).alias("averageProbeTemperature"),
+        "vehicle_type AS vehicleType",
+        "charge_status AS chargeStatus",
+        "high_v AS differenceCellVoltage",
+        "low_v AS maxProbeTemperature",
+        "high_v / 10 AS minProbeTemperature",
+        "high_v * low_v / 100 AS maxTemperatureRate",
+        "(low_v + high_v) / 2 AS averageProbeTemperature",
         "resistance",
-        (k * 2).alias("wDischargeRate"),
+        "low_v * 2 AS wDischargeRate",
     )
 
 
@@ -117,41 +118,42 @@ BOX_SIDES = {
 
 def box_units(events: DataFrame) -> DataFrame:
     """Six metrics per event, grouped by event type."""
-    value, k = F.col("value"), F.col("k").cast("double")
-    return _with_k(events).select(
-        "event_type",
-        "event_id",
-        value.alias("m_value"),
-        (value * value).alias("m_square"),
-        (value * k).alias("m_power"),
-        (value / (k + 1)).alias("m_share"),
-        (F.lit(10.0) / (k + 1)).alias("m_inverse"),
-        k.alias("m_level"),
+    return (
+        _with_k(events)
+        .selectExpr("event_type", "event_id", "value", "cast(k AS DOUBLE) AS k")
+        .selectExpr(
+            "event_type",
+            "event_id",
+            "value AS m_value",
+            "value * value AS m_square",
+            "value * k AS m_power",
+            "value / (k + 1) AS m_share",
+            "10D / (k + 1) AS m_inverse",
+            "k AS m_level",
+        )
     )
 
 
 def warnings(events: DataFrame) -> DataFrame:
     """Every event as a warning; a vehicle may appear under two types."""
-    user = F.col("user_id")
-    return _with_k(events).select(
-        user.cast("string").alias("vin"),
-        _code("T", (user + F.when(F.col("k") >= 50, 1).otherwise(0)) % 3).alias("vehicle_type"),
-        _code("E", user % 2).alias("enterprise"),
-        _code("P", F.col("k") % 5).alias("province"),
-        F.col("event_type").alias("warning_type"),
-        F.col("ts").alias("warning_start_time"),
+    return _with_k(events).selectExpr(
+        "cast(user_id AS STRING) AS vin",
+        "concat('T', (user_id + CASE WHEN k >= 50 THEN 1 ELSE 0 END) % 3) AS vehicle_type",
+        "concat('E', user_id % 2) AS enterprise",
+        "concat('P', k % 5) AS province",
+        "event_type AS warning_type",
+        "ts AS warning_start_time",
     )
 
 
 def failures(events: DataFrame) -> DataFrame:
-    user = F.col("user_id")
-    return events.select(
-        _code("E", user % 2).alias("enterprise"),
-        _code("P", user % 5).alias("province"),
-        _code("T", user % 3).alias("vehicleType"),
-        user.cast("string").alias("vin"),
-        F.when(F.col("event_type") != "view", F.col("event_type")).alias("failureType"),
-        F.col("ts").alias("failureStartTime"),
+    return events.selectExpr(
+        "concat('E', user_id % 2) AS enterprise",
+        "concat('P', user_id % 5) AS province",
+        "concat('T', user_id % 3) AS vehicleType",
+        "cast(user_id AS STRING) AS vin",
+        "CASE WHEN event_type <> 'view' THEN event_type END AS failureType",
+        "ts AS failureStartTime",
     )
 
 
