@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime, timedelta
+from datetime import date, datetime, time, timedelta, timezone
 
 
 def _day(as_of: date | datetime) -> date:
@@ -33,3 +33,9 @@ def previous_month(as_of: date | datetime) -> str:
 def month_range(as_of: date | datetime) -> tuple[date, date]:
     """From the last day of the previous month up to, not including, ``as_of``."""
     return _day(as_of).replace(day=1) - timedelta(days=1), _day(as_of)
+
+
+def day_micros(day: date) -> int:
+    """Epoch microseconds of the start of the day, UTC."""
+    start = datetime.combine(day, time(), timezone.utc)
+    return (start - datetime(1970, 1, 1, tzinfo=timezone.utc)) // timedelta(microseconds=1)

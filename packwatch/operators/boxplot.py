@@ -29,7 +29,7 @@ ROUNDS = 12
 def quartiles(
     df: DataFrame, groups: Sequence[str], metrics: Sequence[str], small: bool = False
 ) -> DataFrame:
-    """One row per group and metric: ``metric, n, q1, q2, q3``.
+    """One row per group and metric: ``metric, n, q1, q2, q3``; ``q2`` is the exact median.
 
     ``small=True`` states that no group can be large, which saves measuring them.
     """

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -82,6 +82,12 @@ def smoothed_steps(
     )
 
 
+def positions_where(values: Column, test: Callable[[Column], Column]) -> Column:
+    """1-based positions of the array elements that pass the test, in order."""
+    marked = F.transform(values, lambda v, i: F.when(test(v), i + 1))
+    return F.array_compact(marked)
+
+
 def cells(df: DataFrame, keep: Sequence[str], vector: str) -> DataFrame:
     """Frames x cells in long form: ``cell_no`` (from 1) and ``voltage``."""
     return df.select(*keep, F.posexplode(vector).alias("_at", "voltage")).select(

@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from packwatch.functions.calendar import previous_day
+from packwatch.functions.calendar import day_micros, previous_day
 from packwatch.functions.flags import slope
 from packwatch.functions.scalars import US_PER_HOUR, band
 from packwatch.operators.histogram import CELLS, CURRENT_BUCKETS, CURRENT_STEP, filled_histograms
@@ -135,8 +135,8 @@ def current_histograms(
     """
     if as_of is not None:
         day, after = previous_day(as_of)
-        ended = F.timestamp_micros("end_us")
-        records = records.where((ended >= F.lit(day)) & (ended < F.lit(after)))
+        ended = F.col("end_us")
+        records = records.where((ended >= day_micros(day)) & (ended < day_micros(after)))
         frames = frames.where(F.col("dt").isin(f"{day}", f"{previous_day(day)[0]}"))
     charging = frames.where(F.col("charge_status") == "1").select(
         "vin", "province", "vehicle_type", "msg_us", "total_current"

@@ -22,8 +22,11 @@ RISK_LEVELS = {"highrisk_num": "1", "medrisk_num": "2", "lowrisk_num": "3"}
 
 
 def between(ts: str, span: tuple[date, date] | tuple[datetime, datetime]) -> Column:
-    """Half-open range on the bare column, so that it reaches the scan."""
-    return (F.col(ts) >= F.lit(span[0])) & (F.col(ts) < F.lit(span[1]))
+    """Half-open range on the bare column, so that it reaches the scan.
+
+    The bounds are text, which becomes a constant of the column's own time type.
+    """
+    return (F.col(ts) >= F.lit(str(span[0]))) & (F.col(ts) < F.lit(str(span[1])))
 
 
 def _reattached(

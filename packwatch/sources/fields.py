@@ -52,10 +52,43 @@ DOCUMENTS: dict[str, dict[str, str]] = {
     "failure": {},
     "failure_statistics_perhour": {},
     "failure_statistics_perday": {},
-    "charge_record": {},
-    "charge_current_frequency": {"statis_time": "time"},
-    "charge_vol_day_diff": {},
-    "connection_impedance_es": {},
-    "resistance_reduce": {},
-    "bms_sampling": {},
+    "charge_record": {
+        "vehicle_type": "vehicleType",
+        "license_plate": "licensePlate",
+        "start_time": "chargeStartTime",
+        "end_time": "chargeEndTime",
+        "start_soc": "chargeStartSoc",
+        "end_soc": "chargeEndSoc",
+        "ampere_hours": "chargeElectricity",
+        "charge_type": "chargeType",
+        "max_cells": "maxVolCellNumFrequency",
+        "min_cells": "minVolCellNumFrequency",
+    },
+    "charge_current_frequency": {
+        "vehicle_type": "vehicleType",
+        "charge_type": "chargeType",
+        "frequency": "chargeCurrentFrequency",
+        "statis_time": "time",
+    },
+    "charge_vol_day_diff": {
+        "start_time": "dt",
+        "vol_diff": "volDiff",
+        "day_diff": "dayDiff",
+        "is_warning": "isWarning",
+    },
+    "connection_impedance_es": {
+        "start_time": "chargeStartTime",
+        "end_time": "chargeEndTime",
+        "is_warning": "isWarning",
+    },
+    "resistance_reduce": {
+        "start_time": "startTime",
+        "end_time": "endTime",
+        "is_warning": "isWarning",
+    },
+    "bms_sampling": {
+        "start_time": "startTime",
+        "end_time": "endTime",
+        "is_warning": "isWarning",
+    },
 }

@@ -12,9 +12,18 @@ from packwatch.session import work_folder
 from packwatch.sources.fields import DOCUMENTS
 
 
+def with_time_text(df: DataFrame) -> DataFrame:
+    """``start_us`` and ``end_us``, where present, as the texts ``start_time``, ``end_time``."""
+    for name in ("start", "end"):
+        if f"{name}_us" in df.columns:
+            text = F.date_format(F.timestamp_micros(f"{name}_us"), "yyyy-MM-dd HH:mm:ss")
+            df = df.withColumn(f"{name}_time", text).drop(f"{name}_us")
+    return df
+
+
 def as_documents(df: DataFrame, index: str) -> DataFrame:
-    """The columns under the field names of the index."""
-    return df.withColumnsRenamed(DOCUMENTS[index])
+    """The columns under the field names of the index, session times as text."""
+    return with_time_text(df).withColumnsRenamed(DOCUMENTS[index])
 
 
 def write_documents(

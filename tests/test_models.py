@@ -221,3 +221,9 @@ def test_vector_statistics(spark):
     ).collect()
     assert got[0] == pytest.approx((7 / 3, statistics.stdev([1, 2, 4]), statistics.pstdev([1, 2, 4])))
     assert tuple(got[1]) == (5.0, None, 0.0)
+
+
+def test_positions_where(spark):
+    df = spark.createDataFrame([([3.0, -7.0, 1.0, -9.0],), ([],)], "v array<double>")
+    got = df.select(signals.positions_where(F.col("v"), lambda x: x < -5)).collect()
+    assert [r[0] for r in got] == [[2, 4], []]

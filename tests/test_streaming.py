@@ -126,17 +126,21 @@ def test_driving_sessions(spark, tmp_path):
 
 def test_records_for_notifications(spark, tmp_path):
     frames = spark.createDataFrame(
-        [("v", t * 1000, t, 0.1 * t, 10.0, 1, 2, "p", "t", "e") for t in range(1, 8)],
+        [("v", t * 1_000_000, t, 0.1 * t, 10.0, 1, 2, "p", "t", "e") for t in range(1, 8)],
         "vin string, msg_us long, frame_id long, soc double, total_current double, max_cell_num int, "
         "min_cell_num int, province string, vehicle_type string, enterprise string",
     )
     base = spark.createDataFrame([("v", "plate")], "vin string, license_plate string")
-    lines = [[('{"vin":"v","startMsgTime":"2","endMsgTime":"4"}',), ('{"vin":"w","startMsgTime":"1","endMsgTime":"2"}',)],
-             [('{"vin":"v","startMsgTime":"3","endMsgTime":"7"}',)]]
+    lines = [[('{"vin":"v","startMsgTime":"2000","endMsgTime":"4000"}',), ('{"vin":"w","startMsgTime":"1000","endMsgTime":"2000"}',)],
+             [('{"vin":"v","startMsgTime":"3000","endMsgTime":"7000"}',)]]
     stream = file_stream(spark, tmp_path, lines, "value string")
     notes = readers.parse_messages(stream, detectors.struct(vin=detectors.TEXT, startMsgTime=detectors.TEXT, endMsgTime=detectors.TEXT))
     path = str(tmp_path / "docs")
     query = triggers.record_charges(notes, frames, base, path, str(tmp_path / "cp"))
     query.trigger(availableNow=True).start().awaitTermination()
-    got = spark.read.json(path).select("start_us", "end_us", "license_plate").collect()
-    assert sorted(map(tuple, got)) == [(2000, 4000, "plate"), (3000, 7000, "plate")]
+    got = spark.read.json(path).select("chargeStartTime", "chargeEndTime", "licensePlate", "chargeElectricity").collect()
+    start = "1970-01-01 00:00:0"
+    assert sorted(map(tuple, got)) == [
+        (f"{start}2", f"{start}4", "plate", 20 / 3600),
+        (f"{start}3", f"{start}7", "plate", 40 / 3600),
+    ]
