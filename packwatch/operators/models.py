@@ -130,7 +130,10 @@ def rest_gaps(
 ) -> DataFrame:
     """Consecutive frames at least ``least_days`` apart between which the vehicle stood still."""
     pairs = gaps(df, keys, order, [odo, soc, speed, *keep])
-    was = lambda c: F.col(f"before.{c}")
+
+    def was(c: str) -> Column:
+        return F.col(f"before.{c}")
+
     return pairs.where(
         (F.col("gap_days") >= least_days)
         & (F.col(odo) == was(odo))

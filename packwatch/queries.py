@@ -285,7 +285,7 @@ def cell_histogram(spark, folder):
 
 
 def current_histogram(spark, folder):
-    records = charging.mode_and_charge(_charge_rows(spark, folder))
+    records = settle(charging.mode_and_charge(_charge_rows(spark, folder)), "records")
     found = charging.current_histograms(_frames(spark, folder), records, disjoint=True)
     return found.withColumn("frequency", array_text("frequency"))
 
