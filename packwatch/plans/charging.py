@@ -130,8 +130,9 @@ def current_histograms(
 ) -> DataFrame:
     """Charging frames per 5 A bucket, by province, vehicle type, vehicle and charge type.
 
-    ``records`` is read several times, so it should be a stored table. With ``as_of`` the records that ended on the day before count, and frames of that day
-    and the one before it are read.
+    ``records`` is read several times, so it should be a stored table. With ``as_of`` the
+    records that ended on the day before count, and frames of that day and the one before
+    it are read.
     """
     if as_of is not None:
         day, after = previous_day(as_of)
