@@ -19,6 +19,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+import struct
 import sys
 
 import pyarrow as pa
@@ -31,12 +32,58 @@ from packwatch.llm.common import settle, table
 
 #: A stretch without a cutting place of more characters than this goes through the tree.
 LONG_PIECE = 4096
-#: Words remembered per worker in each of two generations.
-REMEMBERED = 150_000
+#: Words, and pieces of words, remembered per worker; the words before the last clearing are kept too.
+REMEMBERED = 300_000
 #: Longer words are not remembered.
 LONGEST_WORD = 64
-#: Rows of Python batches hold about so many characters at most.
-SPAN = 1 << 20
+
+# Fixed values of the usual lower-casing byte-level files: the pattern that splits text, and
+# what it comes to for words of printable ASCII and Latin-1 letters.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+PLAIN_WORD = re.compile(r"[!-~\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+")
+PLAIN_SPLIT = re.compile(
+    r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00DF-\u00F6\u00F8-\u00FF]+|[0-9]|[^\sa-z0-9\u00DF-\u00F6\u00F8-\u00FF]+"
+)
+
+
+def byte_symbols() -> dict[int, int]:
+    """The letter that stands for each byte: itself if printable, else one above 255 in turn."""
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in printable]
+    return {b: b for b in printable} | {b: 256 + i for i, b in enumerate(others)}
+
+
+def plain_rules(model: dict) -> bool:
+    """Whether a file lower-cases, splits by SPLIT and works on bytes, and does nothing else."""
+    normalizers = (model.get("normalizer") or {}).get("normalizers") or []
+    parts = (model.get("pre_tokenizer") or {}).get("pretokenizers") or []
+    return (
+        [n["type"] for n in normalizers] == ["NFC", "Replace", "Lowercase"]
+        and normalizers[1]["pattern"] == {"Regex": "\\s+"}
+        and [p["type"] for p in parts] == ["Split", "ByteLevel"]
+        and parts[0]["pattern"] == {"Regex": SPLIT}
+        and (parts[0]["behavior"], parts[0]["invert"]) == ("Removed", True)
+        and (parts[1]["add_prefix_space"], parts[1]["use_regex"]) == (False, False)
+    )
+
+
+class Remembered(dict):
+    """Word to what is made of its ids; filled as words turn up, with one older generation."""
+
+    def __init__(self, compute):
+        super().__init__()
+        self.compute, self.old = compute, {}
+
+    def __missing__(self, word: str):
+        value = self.old.get(word)
+        if value is None:
+            value = self.compute(word)
+        if len(word) <= LONGEST_WORD:
+            if len(self) >= REMEMBERED:
+                self.old = dict(self)
+                self.clear()
+            self[word] = value
+        return value
 
 
 class Codec:
@@ -51,45 +98,46 @@ class Codec:
         self.whole.no_truncation()
         self.whole.no_padding()
         model = json.loads(text)
+        self.plain = plain_rules(model)
         self.suffix = model["model"].get("end_of_word_suffix") or ""
         model["model"]["end_of_word_suffix"] = None
         self.inner = Tokenizer.from_str(json.dumps(model)).model
+        self.model = self.whole.model
         self.specials = {t["content"]: t["id"] for t in model["added_tokens"]}
         self.special = re.compile("(" + "|".join(map(re.escape, self.specials)) + ")") if self.specials else None
         self.token = [self.whole.id_to_token(i) or "" for i in range(self.whole.get_vocab_size())]
-        self.young: dict = {}
-        self.old: dict = {}
+        self.symbols = byte_symbols()
+        self.split = Remembered(self.piece_ids)
+        self.kinds = {kind: Remembered(lambda w, make=make: make(self.ids(w))) for kind, make in
+                      (("ids", tuple), ("bytes", self.as_bytes), ("text", self.as_text))}
 
     # words ------------------------------------------------------------------
 
-    def remember(self, words, make) -> dict:
-        """A table with make(ids) of every word given."""
-        young, old = self.young, self.old
-        new = []
-        for w in words:
-            if w not in young:
-                known = old.get(w)
-                if known is None:
-                    new.append(w)
-                else:
-                    young[w] = known
-        rare = {}
-        for i in range(0, len(new), 4096):
-            part = new[i : i + 4096]
-            for w, e in zip(part, self.whole.encode_batch(part, add_special_tokens=False), strict=True):
-                (young if len(w) <= LONGEST_WORD else rare)[w] = make(e.ids)
-        found = young
-        if rare:
-            found = {w: rare.get(w) if w in rare else young[w] for w in words}
-        if len(young) > REMEMBERED:
-            self.old, self.young = young, {}
-        return found
+    def as_bytes(self, ids) -> bytes:
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def as_text(self, ids) -> tuple[str, str]:
+        return " ".join(map(str, ids)), " ".join([self.token[i] for i in ids])
+
+    def made(self, ids, kind: str):
+        return {"ids": tuple, "bytes": self.as_bytes, "text": self.as_text}[kind](ids)
+
+    def piece_ids(self, piece: str) -> tuple[int, ...]:
+        symbols = piece.encode("utf-8").decode("latin-1").translate(self.symbols)
+        return tuple([t.id for t in self.model.tokenize(symbols)])
+
+    def ids(self, word: str) -> list[int]:
+        """Ids of a word: piece by piece where the rules are known, else by the library."""
+        if not word:
+            return []
+        if self.plain and PLAIN_WORD.fullmatch(word) and not (self.special and self.special.search(word)):
+            split = self.split
+            return [i for p in PLAIN_SPLIT.findall(word.lower()) for i in split[p]]
+        return self.whole.encode(word, add_special_tokens=False).ids
 
-    def words(self, text: str, make) -> list:
-        """make(ids) for each word of a text; spaces and line ends have none."""
-        parts = text.replace("\n", " ").split(" ")
-        found = self.remember(set(parts), make)
-        return [found[w] for w in parts]
+    def words(self, text: str, kind: str) -> list:
+        """What is made of each word of a text; spaces and line ends have none."""
+        return list(map(self.kinds[kind].__getitem__, text.replace("\n", " ").split(" ")))
 
     # long stretches -----------------------------------------------------------
 
@@ -106,8 +154,12 @@ class Codec:
 
     def run(self, symbols: str, last: bool) -> list[tuple[int, int]]:
         """(id, symbols) of a piece, or of a part of one that does not end it."""
-        model = self.whole.model if last else self.inner
-        return [(t.id, t.offsets[1] - t.offsets[0]) for t in model.tokenize(symbols)] if symbols else []
+        if not symbols:
+            return []
+        found = [(t.id, len(t.value)) for t in (self.model if last else self.inner).tokenize(symbols)]
+        if last:
+            found[-1] = (found[-1][0], found[-1][1] - len(self.suffix))
+        return found
 
     def join(self, left: list, right: list, symbols: str, last: bool) -> list:
         """Exact encoding of two neighbouring parts; ``symbols`` are those of both."""
@@ -174,7 +226,7 @@ def cut(text: str, c: Codec) -> list[tuple[int, int, str]]:
 
 def leaf_ids(kind: int, last: int, content: str, c: Codec) -> list[tuple[int, int]]:
     if kind == 0:
-        return [(i, 0) for ids in c.words(content, tuple) for i in ids]
+        return [(i, 0) for ids in c.words(content, "ids") for i in ids]
     if kind == 1:
         return [(int(content), 0)]
     return c.run(content, bool(last))
@@ -194,11 +246,11 @@ def joined(parts: list[tuple[int, int, str, list[int], list[int]]], c: Codec) ->
     return ids
 
 
-def map_text(docs: DataFrame, vocabulary: str, make, finish, schema: str) -> DataFrame:
+def map_text(docs: DataFrame, vocabulary: str, kind: str, finish, schema: str) -> DataFrame:
     """Encode the texts of (row, text) and map each to columns.
 
-    ``make(ids)`` is what is remembered of a word, ``finish(list of those)`` the values of the
-    columns that ``schema`` names. ``row`` is a struct that comes back unchanged. A null text is
+    ``kind`` is what is made of a word's ids (ids, bytes or text), ``finish(list of those)`` gives the
+    values of the columns that ``schema`` names. ``row`` is a struct that comes back unchanged. A null text is
     empty. Long stretches go leaf by leaf over all tasks and are joined by tree per text.
     """
     spark = docs.sparkSession
@@ -210,7 +262,7 @@ def map_text(docs: DataFrame, vocabulary: str, make, finish, schema: str) -> Dat
     def direct(batches):
         c = codec(vocabulary)
         for batch in batches:
-            values = [finish(c.words(t, make)) for t in batch.column("text").to_pylist()]
+            values = [finish(c.words(t, kind)) for t in batch.column("text").to_pylist()]
             columns = [pa.array([v[i] for v in values], kinds[i]) for i in range(len(kinds))]
             yield pa.RecordBatch.from_arrays([batch.column("row"), *columns], ["row", *names])
 
@@ -255,7 +307,7 @@ def map_text(docs: DataFrame, vocabulary: str, make, finish, schema: str) -> Dat
         c = codec(vocabulary)
         group = group.sort_by("part")
         parts = list(zip(*(group[n].to_pylist() for n in ("kind", "last", "content", "ids", "widths")), strict=True))
-        values = finish([make(joined(parts, c))])
+        values = finish([c.made(joined(parts, c), kind)])
         made = [pa.array([v], k) for v, k in zip(values, kinds, strict=True)]
         return pa.table([group["row"].slice(0, 1), *made], ["row", *names])
 
@@ -268,10 +320,6 @@ def map_text(docs: DataFrame, vocabulary: str, make, finish, schema: str) -> Dat
     return short.unionByName(long)
 
 
-def _texts_of(ids, token: list[str]) -> tuple[int, str, str]:
-    return len(ids), " ".join(map(str, ids)), " ".join([token[i] for i in ids])
-
-
 def round_trip(docs: DataFrame, vocabulary: str) -> DataFrame:
     """op4 for (doc_id, text): token count, digest of the ids and of the decoded text.
 
@@ -279,19 +327,17 @@ def round_trip(docs: DataFrame, vocabulary: str) -> DataFrame:
     needs no decoder of its own: tokens are joined by a space, as the library does.
     """
 
-    def make(ids):
-        return _texts_of(ids, codec(vocabulary).token)
-
     def finish(words):
-        words = [w for w in words if w[0]]
+        ids = " ".join([w[0] for w in words if w[0]])
+        text = " ".join([w[1] for w in words if w[0]])
         return (
-            sum(w[0] for w in words),
-            hashlib.sha256(" ".join([w[1] for w in words]).encode()).hexdigest(),
-            hashlib.sha256(" ".join([w[2] for w in words]).encode()).hexdigest(),
+            ids.count(" ") + 1 if ids else 0,
+            hashlib.sha256(ids.encode()).hexdigest(),
+            hashlib.sha256(text.encode()).hexdigest(),
         )
 
     rows = docs.select(F.struct("doc_id").alias("row"), "text")
-    out = map_text(rows, vocabulary, make, finish, "n_tokens long, ids_sha256 string, decoded_sha256 string")
+    out = map_text(rows, vocabulary, "text", finish, "n_tokens long, ids_sha256 string, decoded_sha256 string")
     return out.select("row.doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 

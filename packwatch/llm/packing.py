@@ -74,15 +74,12 @@ def token_pieces(docs: DataFrame, vocabulary: str, most: int = SEQUENCE) -> Data
     """Pieces of at most ``most`` ids of every document of (doc_id, text), the id 1 at its end."""
     end = np.array([END_ID], dtype="<u4").tobytes()
 
-    def make(ids):
-        return np.array(ids, dtype="<u4").tobytes()
-
     def finish(words):
         data = b"".join([*words, end])
         return len(data) // 4, [zlib.crc32(data[i : i + 4 * most]) for i in range(0, len(data), 4 * most)]
 
     rows = docs.select(F.struct("doc_id").alias("row"), "text")
-    found = map_text(rows, vocabulary, make, finish, "doc_tokens long, crcs array<long>")
+    found = map_text(rows, vocabulary, "bytes", finish, "doc_tokens long, crcs array<long>")
     start = F.col("pos").cast("long") * most
     return found.select("row.doc_id", "doc_tokens", F.posexplode("crcs").alias("pos", "ids_crc32")).select(
         "doc_id",
