@@ -5,13 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from packwatch.session import settle, work_folder
+from packwatch.session import work_folder
 
 __all__ = ["components", "has_word", "settle", "table", "work_folder"]
 
 WHITE = "\\x20\\x09-\\x0D"
 
 
+def settle(df: DataFrame, purpose: str) -> DataFrame:
+    """Write an intermediate table to the shared folder, small, and go on from its files."""
+    path = work_folder(df.sparkSession, purpose)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def table(spark, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

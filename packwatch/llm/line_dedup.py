@@ -21,12 +21,16 @@ CHUNK = 127
 LANES = 0x0101010101010101
 #: Cells of the prefilters that say which texts are needed; bounds their broadcast.
 CELLS = 1 << 20
+BUCKET_CELLS = 1 << 22
+#: Bits in which the fingerprints of a pair may differ: lines of the least similarity that share two
+#: blocks differ in about 6 of the other 32, unrelated ones in 16.
+MOST_BITS = 13
 #: Words become one character each where lines are compared.
 ALPHABET = 0xD000
 
 
-def cell(key: Column) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(CELLS))
+def cell(key: Column, cells: int = CELLS) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(cells)).cast("int")
 
 
 def numbered(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
@@ -111,22 +115,26 @@ def blocks(simhash: Column) -> Column:
 def candidates(distinct: DataFrame) -> DataFrame:
     """Pairs (u, v) of line keys to compare: each member of a bucket with its least and largest key.
 
-    So a bucket of n lines gives 2 n pairs at most, and lines meet in six tables. Centres are found
-    with map-side combining; adaptive execution can split the join of a hot bucket.
+    So a bucket of n lines gives 2 n pairs at most, and lines meet in six tables; pairs whose
+    fingerprints differ in more than MOST_BITS bits are left out. Buckets are counted first and
+    centres found with map-side combining; rows of lone buckets are mostly dropped before they travel again,
+    and adaptive execution can split the join of a hot bucket.
     """
-    bucketed = distinct.select("key", F.explode(blocks(F.col("simhash"))).alias("bucket"))
-    centres = settle(
-        bucketed.groupBy("bucket").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low < high"), "line-centres"
+    bucketed = distinct.select("key", "simhash", F.explode(blocks(F.col("simhash"))).alias("bucket"))
+    shared = bucketed.groupBy("bucket").count().where("count > 1")
+    cells = settle(shared.select(cell(F.col("bucket"), BUCKET_CELLS).alias("cell")).distinct(), "line-cells")
+    near = (
+        bucketed.withColumn("cell", cell(F.col("bucket"), BUCKET_CELLS)).join(F.broadcast(cells), "cell", "left_semi").drop("cell")
     )
-    near = F.broadcast(centres.select(cell(F.col("bucket")).alias("cell")).distinct())
+    line = F.struct("key", "simhash")
+    centres = near.groupBy("bucket").agg(F.min(line).alias("low"), F.max(line).alias("high")).where("low.key < high.key")
+    centres = settle(centres, "line-centres")
+    different = F.bit_count(F.col("simhash").bitwiseXOR(F.col("centre.simhash")))
     return (
-        bucketed.withColumn("cell", cell(F.col("bucket")))
-        .join(near, "cell", "left_semi")
-        .drop("cell")
-        .join(centres, "bucket")
-        .select("key", F.explode(F.array("low", "high")).alias("centre"))
-        .where("key <> centre")
-        .select(F.least("key", "centre").alias("u"), F.greatest("key", "centre").alias("v"))
+        near.join(centres, "bucket")
+        .select("key", "simhash", F.explode(F.array("low", "high")).alias("centre"))
+        .where((F.col("key") != F.col("centre.key")) & (different <= MOST_BITS))
+        .select(F.least("key", "centre.key").alias("u"), F.greatest("key", "centre.key").alias("v"))
         .distinct()
     )
 
