@@ -123,6 +123,16 @@ def standard_rules() -> list[Rule]:
     ]
 
 
+def only(rows: DataFrame, condition: Column) -> DataFrame:
+    """Rows for which the condition holds, without computing its columns again.
+
+    A filter is pushed below the projections it reads, and every mention of a column there becomes
+    a copy of the whole expression. Exploding an array of the row, or of nothing, stays above them.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in rows.columns])
+    return rows.select(F.explode(F.when(condition, F.array(row))).alias("_row")).select("_row.*")
+
+
 def ordered_by_profit(sample: DataFrame, rules: list[Rule]) -> list[Rule]:
     """The rules by share rejected per second on a sample, best first.
 
@@ -166,7 +176,7 @@ def judged(docs: DataFrame, rules: list[Rule] | None = None, text_column: str =
         F.coalesce(F.col(f"`{text_column}`"), F.lit("")).alias("text"),
     )
     share = min(1.0, SAMPLE_ROWS / max(docs.count(), 1))
-    sample = settle(measured(rows.sample(share, 7)).where(~base_failed()).drop("record"), "rule-sample")
+    sample = settle(only(measured(rows.sample(share, 7)).drop("record"), ~base_failed()), "rule-sample")
     good = passes(ordered_by_profit(sample, rules))
     return (
         measured(rows)
@@ -185,7 +195,8 @@ def judged_documents(spark, folder: str) -> DataFrame:
 
 def kept_documents(docs: DataFrame) -> DataFrame:
     """Documents that pass; same columns."""
-    return judged(docs).where("kept").select(*[F.col(f"record.`{c}`").alias(c) for c in docs.columns])
+    good = only(judged(docs).select("record", "kept"), F.col("kept"))
+    return good.select(*[F.col(f"record.`{c}`").alias(c) for c in docs.columns])
 
 
 JUDGED_SQL = rf"""
