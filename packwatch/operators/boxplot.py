@@ -23,7 +23,6 @@ from packwatch.session import settle
 
 QUARTERS = (1, 2, 3)
 BINS = 4096
-ROUNDS = 12
 
 
 def quartiles(
@@ -34,11 +33,12 @@ def quartiles(
     ``small=True`` states that no group can be large, which saves measuring them.
     """
     df = present(df, groups).select(*groups, *[F.col(m).cast("double").alias(m) for m in metrics])
-    ends = [F.struct(F.min(m).alias("lo"), F.max(m).alias("hi")).alias(f"_{m}") for m in metrics]
+    finite = {m: F.when(F.abs(m) < float("inf"), F.col(m)) for m in metrics}
+    ends = [F.struct(F.min(c).alias("lo"), F.max(c).alias("hi")).alias(f"_{m}") for m, c in finite.items()]
     hot = None if small else hot_keys(df, groups, *ends)
     if hot is None:
         return _ranked(_long(df, groups, metrics), groups)
-    known = F.broadcast(hot.select(*groups))
+    known = hot.select(*groups)
     ordinary = _long(df.join(known, list(groups), "left_anti"), groups, metrics)
     large = _long(df.join(known, list(groups), "left_semi"), groups, metrics)
     entry = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(f"_{m}.*")) for m in metrics])
@@ -75,9 +75,11 @@ def _narrowed(long: DataFrame, cells: DataFrame, groups: Sequence[str]) -> DataF
     """Quartiles of hot groups, given their sizes and value ranges.
 
     Each round counts the values of a cell in equal-width bins and keeps the bins that
-    hold a wanted rank, until these have no more than ``hot_rows`` rows. There are at most
-    six cells per hot group and metric, so their broadcasts are bounded; they are settled
-    so that every later step sees the same ones.
+    hold a wanted rank, until these have no more than ``hot_rows`` rows or one value each.
+    NULL, the infinities and NaN have bins of their own. Every round parts the least value
+    of a bin from its greatest, so rounds end. Cells, at most six per hot group and metric,
+    are settled, so that every later step sees the same ones and the planner knows their
+    size; so are the rows left after a round.
     """
     keys = by = [*groups, "metric"]
     whole = [rank_whole(F.col("n"), q) for q in QUARTERS]
@@ -87,18 +89,29 @@ def _narrowed(long: DataFrame, cells: DataFrame, groups: Sequence[str]) -> DataF
         "_ranks", F.transform(ranks, lambda r: F.struct(r.alias("rank"), r.alias("left")))
     )
     rows = long
-    for level in range(ROUNDS):
+    value, low, high = F.col("value"), F.col("_lo"), F.col("_hi")
+    level = 0
+    while True:
         cell = f"_bin{level}"
-        width = F.nullif(F.col("_hi") - F.col("_lo"), F.lit(0.0))
-        place = F.floor((F.col("value") - F.col("_lo")) / width * BINS)
-        rows = rows.join(F.broadcast(cells.select(*keys, "_lo", "_hi")), keys).select(
+        width = F.nullif(high - low, F.lit(0.0))
+        # halves where the width itself is beyond a double
+        share = F.when(width < float("inf"), (value - low) / width).otherwise(
+            (value / 2 - low / 2) / F.nullif(high / 2 - low / 2, F.lit(0.0))
+        )
+        place = F.coalesce(F.least(F.floor(share * BINS), F.lit(BINS - 1)), F.lit(0))
+        rows = rows.join(cells.select(*keys, "_lo", "_hi"), keys).select(
             *keys,
             "value",
-            F.when(F.col("value").isNull(), -1)
-            .otherwise(F.coalesce(F.least(place, F.lit(BINS - 1)), F.lit(0)))
+            F.when(value.isNull(), -2)
+            .when(value == float("-inf"), -1)
+            .when(value == float("inf"), BINS)
+            .when(F.isnan(value), BINS + 1)
+            .otherwise(place)
             .cast("long")
             .alias(cell),
         )
+        if level:
+            rows = settle(rows, "narrowed")
         counted = rows.groupBy(*keys, cell).agg(
             F.count(F.lit(1)).alias("_c"), F.min("value").alias("_lo"), F.max("value").alias("_hi")
         )
@@ -107,8 +120,9 @@ def _narrowed(long: DataFrame, cells: DataFrame, groups: Sequence[str]) -> DataF
         largest = cells.where(F.col("_lo") < F.col("_hi")).agg(F.max("_c")).first()[0]
         if largest is None or largest <= hot_rows(long):
             break
+        level += 1
     values = (
-        rows.join(F.broadcast(cells.select(*keys)), keys)
+        rows.join(cells.select(*keys), keys)
         .groupBy(*keys, "value")
         .agg(F.count(F.lit(1)).alias("_c"))
     )
@@ -141,7 +155,7 @@ def _holding(
     )
     return (
         counted.withColumn("_before", before)
-        .join(F.broadcast(cells.select(*keys, "n", "_ranks")), list(keys))
+        .join(cells.select(*keys, "n", "_ranks"), list(keys))
         .withColumn("_ranks", moved)
         .where(F.size("_ranks") > 0)
         .drop("_before")

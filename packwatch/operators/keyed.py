@@ -2,13 +2,15 @@
 
 A plain window over ``partitionBy(vin)`` puts a whole vehicle into one task. So every
 operator first measures its keys: one column-pruned count, combined on the map side. If
-no key has more than ``hot_rows`` rows, plain windows follow. Otherwise the hot keys are
-cut into slices of the order column; windows then run per (key, slice), and what a slice
-needs from its neighbours is carried over from one summary row per slice.
-
-Bounds: of N rows at most N / hot_rows keys are hot, with at most 8 N / hot_rows slices
-together. The list of hot keys is therefore small enough to fetch and to broadcast; the
-slice summaries are joined on the partitioning that the windows already have.
+no key has more than ``hot_rows`` rows, plain windows follow. Otherwise the rows of hot
+keys are range-partitioned on key and order and written once; each partition is a slice.
+Windows then run per (key, slice), and what a slice needs from its neighbours is carried
+over from one summary row per slice.
+
+Range bounds come from a sample of the rows themselves, so outlying times, bursts and
+rows without a time leave the slices even. A row without a time is before all others, as
+in a plain window. Hot keys are a stored table, which the planner broadcasts only if its
+files are small.
 """
 
 from __future__ import annotations
@@ -19,9 +21,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window, WindowSpec
 
+from packwatch.session import settle
+
 HOT_ROWS_SETTING = "spark.packwatch.hotRows"
 HOT_ROWS = 4_000_000
-FINER = 4
 
 
 def hot_rows(df: DataFrame) -> int:
@@ -42,40 +45,43 @@ def hot_keys(df: DataFrame, keys: Sequence[str], *aggregates: Column) -> DataFra
         .agg(F.count(F.lit(1)).alias("n"), *aggregates)
         .where(F.col("n") > rows)
     )
-    found = counted.collect()  # at most N / hot_rows rows
-    return df.sparkSession.createDataFrame(found, counted.schema) if found else None
+    found = settle(counted, "hot-keys")
+    return None if found.isEmpty() else found
 
 
 def slices(
-    df: DataFrame, keys: Sequence[str], at: str, measured_on: DataFrame | None = None
+    df: DataFrame,
+    keys: Sequence[str],
+    at: str,
+    then: Sequence[str] = (),
+    measured_on: DataFrame | None = None,
 ) -> DataFrame:
-    """Cut hot keys into equal-width pieces of the numeric column ``at``.
+    """Cut hot keys into pieces of about ``hot_rows`` rows, in the order of ``at`` and ``then``.
 
-    Adds ``_hot`` and ``_slice`` if there are hot keys, and nothing otherwise.
-    ``measured_on`` names a frame to measure in place of ``df`` when ``df`` holds the
+    Adds ``_hot`` and ``_slice`` if there are hot keys, and nothing otherwise. ``then``
+    names the columns that order rows of the same ``at``; without them such rows stay in one
+    piece. ``measured_on`` names a frame to measure in place of ``df`` when ``df`` holds the
     same rows and few others.
     """
     df = present(df, keys)
-    span = (F.max(at).cast("double") - F.min(at).cast("double")).alias("_span")
-    source = df if measured_on is None else measured_on
-    hot = hot_keys(source, keys, F.min(at).alias("_lo"), span)
+    hot = hot_keys(df if measured_on is None else measured_on, keys)
     if hot is None:
         return df
-    # finer than needed on average, as rows do not spread evenly over the order column
-    pieces = (F.ceil(F.col("n") / hot_rows(df)) * FINER).alias("_pieces")
-    offset = (F.col(at) - F.col("_lo")).cast("double")
-    piece = F.floor(offset * F.col("_pieces") / F.col("_span"))
-    last = F.col("_pieces") - 1
-    cut = F.greatest(F.least(last, piece), F.lit(0))
-    return (
-        df.join(F.broadcast(hot.select(*keys, "_lo", "_span", pieces)), list(keys), "left")
-        .withColumn("_hot", F.col("_pieces").isNotNull())
-        .withColumn(
-            "_slice",
-            F.coalesce(F.when(F.col("_span") > 0, cut), F.lit(0)).cast("long"),
-        )
-        .select(*df.columns, "_hot", "_slice")
+    pieces = hot.agg(F.sum(F.ceil(F.col("n") / hot_rows(df)))).first()[0] + 1
+    dealt = (
+        df.join(hot.select(*keys), list(keys), "left_semi")
+        .select(*df.columns)
+        .repartitionByRange(pieces, *keys, at, *then)
+        .withColumn("_slice", F.spark_partition_id().cast("long"))
+    )
+    # written, as bounds are sampled anew each time that the exchange is computed
+    dealt = settle(dealt, "hot-rows").withColumn("_hot", F.lit(True))
+    plain = (
+        df.join(hot.select(*keys), list(keys), "left_anti")
+        .select(*df.columns)
+        .withColumns({"_slice": F.lit(-1).cast("long"), "_hot": F.lit(False)})
     )
+    return plain.unionByName(dealt).select(*df.columns, "_hot", "_slice")
 
 
 def is_sliced(df: DataFrame) -> bool:
@@ -88,7 +94,8 @@ def cut_columns(df: DataFrame) -> list[str]:
 
 
 def in_slice(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> WindowSpec:
-    return Window.partitionBy(*keys, *cut_columns(df)).orderBy(*order)
+    cut = ["_slice"] if is_sliced(df) else []
+    return Window.partitionBy(*keys, *cut).orderBy(*order)
 
 
 def across(keys: Sequence[str]) -> WindowSpec:
@@ -283,7 +290,7 @@ def in_windows(
     if disjoint:
         return _latest_window(rows, windows, keys, at, start, end, extra)
     marked = scan(
-        slices(windows, keys, start),
+        slices(windows, keys, start, [end]),
         keys,
         [start, end],
         _before=("max", F.col(end)),
@@ -316,7 +323,7 @@ def _latest_window(rows, windows, keys, at, start, end, extra):
         F.struct(*extra).alias("_window"),
     )
     mixed = rows.withColumn("_kind", F.lit(1)).unionByName(markers, allowMissingColumns=True)
-    cut = slices(mixed, keys, at, measured_on=rows)
+    cut = slices(mixed, keys, at, ["_kind"], measured_on=rows)
     seen = scan(cut, keys, [at, "_kind"], _open=("last", F.col("_window")))
     return seen.where((F.col("_kind") == 1) & (F.col(at) <= F.col(f"_open.{end}"))).select(
         *rows.columns, *[F.col(f"_open.{c}").alias(c) for c in extra]

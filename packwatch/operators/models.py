@@ -245,7 +245,7 @@ def sampling_inputs(
     The model itself is not defined yet, so ``is_warning`` stays NULL. ``total`` and ``n``
     of all pieces of a key add up to the mean spread of the whole signal.
     """
-    cut = slices(df, keys, order[0])
+    cut = slices(df, keys, order[0], order[1:])
     numbered = positions(cut, keys, order, "_pos").drop(*cut_columns(cut))
     signal = F.sort_array(F.collect_list(F.struct("_pos", high_cell, low_cell)))
     return (

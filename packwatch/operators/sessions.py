@@ -125,7 +125,7 @@ def followed_by(
     order: Sequence[str] = ("msg_us", "frame_id"),
 ) -> DataFrame:
     """Rows that satisfy ``first`` and whose very next row of the key satisfies ``then``."""
-    cut = slices(rows, keys, order[0])
+    cut = slices(rows, keys, order[0], order[1:])
     step = F.struct(F.coalesce(then, F.lit(False)).alias("ok"), F.col(order[0]).alias("at"))
     return (
         scan(cut, keys, order, _next=("lead", step))

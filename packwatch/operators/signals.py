@@ -16,7 +16,7 @@ def differences(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], values: Sequence[str]
 ) -> DataFrame:
     """Add ``{value}_diff``: the change since the previous row of the key."""
-    cut = slices(df, keys, order[0])
+    cut = slices(df, keys, order[0], order[1:])
     found = scan(cut, keys, order, _last=("lag", F.struct(*values)))
     changed = {f"{v}_diff": F.col(v) - F.col(f"_last.{v}") for v in values}
     return found.withColumns(changed).drop("_last", *cut_columns(cut))
@@ -29,7 +29,7 @@ def gaps(
 
     ``gap_s`` and ``gap_days`` give the time between them.
     """
-    cut = slices(df, keys, order[0])
+    cut = slices(df, keys, order[0], order[1:])
     found = scan(cut, keys, order, before=("lag", F.struct(order[0], *keep)))
     gap = F.col(order[0]) - F.col(f"before.{order[0]}")
     return (
@@ -60,7 +60,7 @@ def smoothed_steps(
     and ``step`` (NULL on the first row). Rows without a value are left out.
     """
     present = df.where(F.col(value).isNotNull())
-    cut = slices(present, keys, order[0])
+    cut = slices(present, keys, order[0], order[1:])
     if cut_columns(cut) or block:
         numbered = positions(cut, keys, order, "_pos")
         placed = blocks(numbered, "_pos", before=win + 1, after=win, size=block)

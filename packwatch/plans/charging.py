@@ -53,7 +53,7 @@ def window_rows(
     key = ["vin", "start_us", "window_end_us"]
     windows = windows.select("vin", "start_us", F.col("end_us").alias("window_end_us"))
     concerned = frames.join(windows.select("vin").distinct(), "vin", "left_semi")
-    cut = slices(concerned, ["vin"], "msg_us")
+    cut = slices(concerned, ["vin"], "msg_us", ["frame_id"])
     timed = scan(cut, ["vin"], ["msg_us", "frame_id"], _last=("lag", F.col("msg_us"))).drop(
         *cut_columns(cut)
     )

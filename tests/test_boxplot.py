@@ -52,6 +52,24 @@ def test_known_quartiles(spark):
     assert (usual.max_value, usual.min_value) == (7.5, -2.5)
 
 
+def test_values_beyond_all_bounds(spark):
+    """Infinities and NaN stay out of the bins of finite values, wide ranges end."""
+    inf, nan = float("inf"), float("nan")
+    groups = {
+        "mixed": [float(i % 97) for i in range(400)] + [inf, -inf, nan, None],
+        "wide": [-1.7e308] * 30 + [0.5] * 30 + [1.7e308] * 30,
+        "infinite": [inf] * 40 + [1.0, 2.0],
+    }
+    rows = [(g, v) for g, values in groups.items() for v in values]
+    df = spark.createDataFrame(rows, "g string, v double")
+    plain = sorted(map(str, quartiles(df, ["g"], ["v"]).collect()))
+    spark.conf.set("spark.packwatch.hotRows", "20")
+    try:
+        assert sorted(map(str, quartiles(df, ["g"], ["v"]).collect())) == plain
+    finally:
+        spark.conf.unset("spark.packwatch.hotRows")
+
+
 def test_skewed_values(spark, hot):
     rng = random.Random(1)
     check(

@@ -172,3 +172,45 @@ def test_session_edges(spark):
 def test_no_extra_work_without_hot_keys(frames):
     _, df = frames
     assert not keyed.is_sliced(keyed.slices(df, ["vin"], "msg_us"))
+
+
+def awkward(spark):
+    """One vehicle with rows without a time, one at time 0, and many rows of one instant."""
+    times = [None, None, 0, *[1_700_000_000_000_000] * 1000, *range(1_700_000_000_000_001, 1_700_000_000_001_000)]
+    rows = [("a", t, i, i % 7 == 3) for i, t in enumerate(times)]
+    random.Random(3).shuffle(rows)
+    return spark.createDataFrame(rows, "vin string, msg_us long, frame_id long, flag boolean")
+
+
+def test_slices_stay_even(spark):
+    spark.conf.set(keyed.HOT_ROWS_SETTING, "100")
+    try:
+        cut = keyed.slices(awkward(spark), ["vin"], "msg_us", ["frame_id"])
+        sizes = [r["count"] for r in cut.groupBy("_slice").count().collect()]
+    finally:
+        spark.conf.unset(keyed.HOT_ROWS_SETTING)
+    assert sum(sizes) == 2002 and max(sizes) <= 300
+
+
+def test_same_results_with_awkward_times(spark):
+    order = ["msg_us", "frame_id"]
+
+    def results():
+        df = awkward(spark)
+        cut = keyed.slices(df, ["vin"], "msg_us", ["frame_id"])
+        steps = keyed.scan(
+            cut, ["vin"], order, n=("sum", F.lit(1)), before=("lag", F.col("frame_id")), after=("lead", F.col("frame_id"))
+        )
+        pairs = followed_by(df, F.col("flag"), ~F.col("flag"))
+        runs = session_rows(df, F.col("flag")).select("frame_id", "run_start", "opening", "closing")
+        return [
+            sorted(map(str, found.collect()))
+            for found in (steps.select("frame_id", "n", "before", "after"), pairs.select("frame_id", "next_at"), runs)
+        ]
+
+    plain = results()
+    spark.conf.set(keyed.HOT_ROWS_SETTING, "50")
+    try:
+        assert results() == plain
+    finally:
+        spark.conf.unset(keyed.HOT_ROWS_SETTING)
