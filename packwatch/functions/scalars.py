@@ -55,12 +55,13 @@ def micros(ts: Column | str) -> Column:
 
 
 def week_start(ts: Column | str) -> Column:
-    """Monday of the week, as a date."""
-    return F.date_trunc("week", _col(ts)).cast("date")
+    """Monday of the week, as a date; NULL where a text is no time."""
+    return F.date_trunc("week", _col(ts).try_cast("timestamp")).cast("date")
 
 
 def hour_text(ts: Column | str) -> Column:
-    return F.date_format(_col(ts), "yyyy-MM-dd HH")
+    """Hour of a timestamp or of its text; NULL where the text is no time."""
+    return F.date_format(_col(ts).try_cast("timestamp"), "yyyy-MM-dd HH")
 
 
 def season(month: Column) -> Column:

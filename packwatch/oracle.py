@@ -410,7 +410,7 @@ scored AS (
 SELECT vin, frames, {up('impedance', 6)} AS impedance, {up('mean_current', 6)} AS mean_current,
   {up('peak_current', 6)} AS peak_current,
   CASE WHEN frames > 50 AND impedance >= CASE
-    WHEN mean_current >= 50 OR (mean_current > 45 AND peak_current > 50) THEN 10 ELSE 10 END
+    WHEN mean_current >= 50 OR (mean_current > 45 AND peak_current > 50) THEN 11 ELSE 9 END
   THEN '1' ELSE '0' END AS is_warning
 FROM scored""",
     "resistance_drop": f"""WITH {FRAMES},

@@ -12,6 +12,7 @@ from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from packwatch.functions.calendar import previous_day, previous_hour
 from packwatch.functions.scalars import hour_text
@@ -34,12 +35,17 @@ def _reattached(
 ) -> DataFrame:
     """Totals per vehicle and measure, with every vehicle type and enterprise of the vehicle.
 
-    One shuffle by period and vehicle serves both aggregations and their join.
+    The counts are read once and shuffled once, by period and vehicle; each vehicle's types and
+    enterprises, of which there are few, go along as an array. Counts without period or
+    vehicle are left out.
     """
-    counts = counts.repartition(*period, "vin")
-    totals = counts.groupBy(*period, "vin", *measures).agg(total.alias("total"))
-    owners = counts.select(*period, "vin", "vehicle_type", "enterprise").distinct()
-    return totals.join(owners, [*period, "vin"]).select(
+    counts = counts.dropna(subset=[*period, "vin"]).repartition(*period, "vin")
+    owners = F.collect_set(F.struct("vehicle_type", "enterprise"))
+    owned = counts.withColumn("_owners", owners.over(Window.partitionBy(*period, "vin")))
+    totals = owned.groupBy(*period, "vin", *measures).agg(
+        total.alias("total"), F.first("_owners").alias("_owners")
+    )
+    return totals.select("vin", *measures, "total", *period, F.inline("_owners")).select(
         "vin", "vehicle_type", "enterprise", *measures, "total", *period
     )
 

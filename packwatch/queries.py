@@ -321,7 +321,7 @@ def impedance_flag(spark, folder):
         F.lit(0).alias("start_us"),
         F.lit(0).alias("end_us"),
     )
-    found = health.impedance_run(frames, slow_limit=10.0, fast_limit=10.0, slow_mean=45.0)
+    found = health.impedance_run(frames, slow_limit=9.0, fast_limit=11.0, slow_mean=45.0)
     return _rounded(found.drop("start_us", "end_us"), 6, "impedance", "mean_current", "peak_current")
 
 

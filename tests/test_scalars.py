@@ -61,3 +61,9 @@ def test_run_dates():
     assert calendar.previous_day(datetime(2024, 3, 1, 5)) == (date(2024, 2, 29), date(2024, 3, 1))
     assert calendar.previous_month(date(2024, 3, 31)) == "2024-02"
     assert calendar.month_range(date(2024, 3, 31)) == (date(2024, 2, 29), date(2024, 3, 31))
+
+
+def test_text_that_is_no_time(spark):
+    df = spark.createDataFrame([("2024-03-06 07:08:09",), ("bad",), ("",), (None,)], "t string")
+    found = [tuple(r) for r in df.select(S.hour_text("t"), S.week_start("t").cast("string")).collect()]
+    assert found == [("2024-03-06 07", "2024-03-04"), (None, None), (None, None), (None, None)]
