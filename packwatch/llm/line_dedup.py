@@ -149,10 +149,13 @@ def verified(pairs: DataFrame, distinct: DataFrame, rows: DataFrame) -> DataFram
     """The pairs whose lines have an edit similarity of SIMILARITY or more, in words."""
     keys = pairs.select(F.explode(F.array("u", "v")).alias("key")).distinct()
     wanted = settle(distinct.join(keys, "key").select("key", "first.doc", "first.pos"), "line-wanted")
+    # texts stay where they are: only lines whose cell has a wanted one travel
+    spot = cell(F.struct("doc", "pos"), BUCKET_CELLS)
     cells = F.broadcast(wanted.select(cell(F.col("doc")).alias("cell")).distinct())
-    texts = rows.withColumn("cell", cell(F.col("doc"))).join(cells, "cell", "left_semi").drop("cell", "id")
-    lines = texts.join(wanted.groupBy("doc").agg(F.collect_set("pos").alias("places")), "doc").dropDuplicates(["doc"])
-    lines = lines.select("doc", "places", F.posexplode(F.split("text", "\n")).alias("pos", "line")).where(F.array_contains("places", F.col("pos")))
+    spots = F.broadcast(wanted.select(spot.alias("spot")).distinct())
+    texts = rows.withColumn("cell", cell(F.col("doc"))).join(cells, "cell", "left_semi")
+    lines = texts.select("doc", F.posexplode(F.split("text", "\n")).alias("pos", "line")).withColumn("spot", spot)
+    lines = lines.join(spots, "spot", "left_semi").select("doc", "pos", "line").dropDuplicates(["doc", "pos"])
     codes = lines.join(wanted, ["doc", "pos"]).select("key", coded(line_words(F.col("line"))).alias("code"))
     codes = settle(codes, "line-codes")
     both = pairs.join(codes.select(F.col("key").alias("u"), F.col("code").alias("a")), "u").join(
