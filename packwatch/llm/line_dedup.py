@@ -1,30 +1,28 @@
-"""Fuzzy line deduplication in DataFrame expressions: SimHash, pigeonhole blocks, edit similarity."""
+"""Fuzzy line deduplication in DataFrame expressions: prefix filter on word pairs, edit similarity."""
 
 from __future__ import annotations
 
-from itertools import combinations
+import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from packwatch.llm.blocks import in_blocks
 from packwatch.llm.common import components, settle, table
 from packwatch.llm.quality import bind
 
-#: Shorter lines are left alone.
-LEAST_WORDS = 5
 SIMILARITY = 0.8
+#: Shorter lines have no line of the least similarity but their equals.
+LEAST_WORDS = 4
 #: What stands between words of a lower-case line: ASCII signs and white space.
 BETWEEN = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
-BITS, BLOCK_BITS = 64, 16
-#: Words added up in lanes of a byte at a time; the top lane stays below the sign bit.
-CHUNK = 127
-LANES = 0x0101010101010101
 #: Cells of the prefilters that say which texts are needed; bounds their broadcast.
 CELLS = 1 << 20
 BUCKET_CELLS = 1 << 22
-#: Bits in which the fingerprints of a pair may differ: lines of the least similarity that share two
-#: blocks differ in about 6 of the other 32, unrelated ones in 16.
-MOST_BITS = 13
+#: Cells in which word pairs are counted to take the rare ones first, and the share of documents counted.
+RANK_CELLS, RANK_SHARE = 1 << 16, 8
+#: Lines of a bucket that are compared in one block.
+BLOCK = 512
 #: Words become one character each where lines are compared.
 ALPHABET = 0xD000
 
@@ -44,7 +42,7 @@ def line_words(line: Column) -> Column:
 
 
 def split_lines(rows: DataFrame) -> DataFrame:
-    """Lines (doc, id, pos, key, check, words) of at least LEAST_WORDS words; words are the different ones."""
+    """Lines (doc, id, pos, key, check) of at least LEAST_WORDS words."""
 
     def line(text: Column, pos: Column) -> Column:
         def figures(words: Column) -> Column:
@@ -53,7 +51,6 @@ def split_lines(rows: DataFrame) -> DataFrame:
                 F.xxhash64(words).alias("key"),
                 F.hash(words).alias("check"),
                 F.size(words).alias("n"),
-                F.array_distinct(words).alias("words"),
             )
 
         return bind(line_words(text), figures)
@@ -63,78 +60,131 @@ def split_lines(rows: DataFrame) -> DataFrame:
     return rows.select("doc", "id", F.inline(lines)).drop("n")
 
 
-def _bits(count, n: Column) -> Column:
-    """The fingerprint whose bit b is set if more than half of the n words have it."""
-    total = F.lit(0).cast("long")
-    for b in range(BITS):
-        weight = (1 << b) - (1 << BITS if b == BITS - 1 else 0)
-        total = total.bitwiseOR(F.when(2 * count(b) > n, F.lit(weight)).otherwise(F.lit(0)).cast("long"))
-    return total
+def may_differ(longest: Column) -> Column:
+    """The most edits of two lines of the least similarity."""
+    return F.floor((1 - SIMILARITY) * longest + 1e-9).cast("int")
 
 
-def fingerprints(rows: DataFrame) -> DataFrame:
-    """Rows (doc, id, pos, key, check, simhash) of the lines with at least LEAST_WORDS words.
+def _word_pairs(hashes: Column) -> Column:
+    """Hash of each word with the next one."""
+    n = F.greatest(F.size(hashes) - 1, F.lit(0))
+    return F.zip_with(F.slice(hashes, 1, n), F.slice(hashes, 2, n), lambda a, b: F.xxhash64(a, b))
 
-    Bit b of eight words' hashes is counted in eight lanes of a long at once, a chunk of words at
-    a time, combined on the map side; only lines of several chunks are summed again in wider lanes.
-    """
-    keys = ["doc", "id", "pos", "key", "check"]
-    words = split_lines(rows).select(*keys, F.posexplode("words").alias("at", "word"))
-    words = words.select(*keys, F.floor(F.col("at") / CHUNK).cast("int").alias("chunk"), F.xxhash64("word").alias("h"))
-    lane = lambda i: F.sum(F.shiftright("h", i).bitwiseAND(F.lit(LANES))).alias(f"s{i}")
-    chunks = words.groupBy(*keys, "chunk").agg(F.max("chunk").alias("last"), F.count("*").alias("n"), *[lane(i) for i in range(8)])
-    byte = lambda b: F.shiftrightunsigned(F.col(f"s{b % 8}"), 8 * (b // 8)).bitwiseAND(F.lit(255))
-    half = BITS // 2
-    pair = lambda b: F.sum(byte(b) + F.shiftleft(byte(b + half), 32)).alias(f"p{b}")
-
-    def wide(b: int) -> Column:
-        p = F.col(f"p{b % half}")
-        return F.shiftright(p, 32) if b >= half else p.bitwiseAND(F.lit(0xFFFFFFFF))
-
-    # A first chunk that is not full is a whole line. The test uses sums only, so both branches
-    # share the shuffle: a filter on a key would move below it.
-    alone = (F.col("last") == 0) & (F.col("n") < CHUNK)
-    chunks = chunks.withColumn("alone", alone)
-    short = chunks.where("alone").select(*keys, _bits(byte, F.col("n")).alias("simhash"))
-    long = chunks.where("NOT alone").groupBy(*keys).agg(F.sum("n").alias("n"), *[pair(b) for b in range(half)])
-    return short.unionByName(long.select(*keys, _bits(wide, F.col("n")).alias("simhash")))
-
-
-def blocks(simhash: Column) -> Column:
-    """Two blocks of sixteen bits each, all pairs of blocks, as buckets of 32 bits and a table number.
-
-    Fingerprints that differ in at most two of the four blocks agree in one pair at least.
+
+def _hashes(line: Column) -> Column:
+    return F.transform(line_words(line), lambda w: F.xxhash64(w))
+
+
+def rank_cells(rows: DataFrame) -> bytes:
+    """For each cell of word pairs, the logarithm of how many a share of the documents has."""
+    lines = F.transform(F.split("text", "\n"), lambda x: bind(_hashes(x), _word_pairs))
+    some = rows.where(F.pmod("doc", F.lit(RANK_SHARE)) == 0).select(F.explode(F.flatten(lines)).alias("pair"))
+    counts = some.groupBy(F.pmod("pair", F.lit(RANK_CELLS)).cast("int").alias("cell")).count().collect()
+    ranks = bytearray(RANK_CELLS)
+    for r in counts:
+        ranks[r["cell"]] = int(math.log2(r["count"])) + 1
+    return bytes(ranks)
+
+
+def prefixes(rows: DataFrame, ranks: bytes) -> DataFrame:
+    """Rows (key, n, even, odd, bucket): lines of n words with the word pairs by which they are found.
+
+    An edit of one word takes two word pairs from a line at most. Lines of d edits therefore share one
+    of the first 2 d + 1 in any fixed order of all word pairs, here those of rare cells first; a line of n words
+    has no line of the least similarity with more than n / 4 edits (as the other has 5 n / 4 words at most). even
+    and odd hold 128 bits, each the parity of the words that have it: an edit changes two of them at most.
     """
-    part = lambda i: F.shiftrightunsigned(simhash, BLOCK_BITS * i).bitwiseAND(F.lit(0xFFFF))
-    pairs = list(combinations(range(BITS // BLOCK_BITS), 2))
-    return F.array(
-        *[F.shiftleft(F.lit(t).cast("long"), 32) + F.shiftleft(part(a), BLOCK_BITS) + part(b) for t, (a, b) in enumerate(pairs)]
-    )
+    zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+
+    def parity(hashes: Column, half: int) -> Column:
+        bit = lambda h: F.call_function("shiftleft", one, h.bitwiseAND(F.lit(63)).cast("int"))
+        own = lambda h: F.when(F.shiftright(h, 6).bitwiseAND(one) == half, bit(h)).otherwise(zero)
+        return F.aggregate(hashes, zero, lambda a, h: a.bitwiseXOR(own(h)))
+
+    def ranked(pair: Column) -> Column:
+        at = F.pmod(pair, F.lit(RANK_CELLS)).cast("int") + 1
+        rank = F.ascii(F.substring(F.lit(ranks), at, F.lit(1)).cast("string")).cast("long")
+        return F.shiftleft(rank, 56).bitwiseOR(F.shiftrightunsigned(pair, 8))
+
+    def line(text: Column) -> Column:
+        def figures(words: Column) -> Column:
+            def of(hashes: Column) -> Column:
+                n = F.size(hashes)
+                first = F.slice(F.sort_array(F.transform(_word_pairs(hashes), ranked)), 1, 2 * F.floor(n / 4).cast("int") + 1)
+                return F.struct(
+                    F.xxhash64(words).alias("key"),
+                    n.alias("n"),
+                    parity(hashes, 0).alias("even"),
+                    parity(hashes, 1).alias("odd"),
+                    F.array_distinct(first).alias("buckets"),
+                )
+
+            return bind(F.transform(words, lambda w: F.xxhash64(w)), of)
+
+        return bind(line_words(text), figures)
+
+    lines = F.filter(F.transform(F.split("text", "\n"), line), lambda x: x["n"] >= LEAST_WORDS)
+    return rows.select(F.inline(lines)).select("key", "n", "even", "odd", F.explode("buckets").alias("bucket"))
 
 
-def candidates(distinct: DataFrame) -> DataFrame:
-    """Pairs (u, v) of line keys to compare: each member of a bucket with its least and largest key.
+def bucketed(rows: DataFrame) -> DataFrame:
+    """The rows of prefixes() in buckets that lines share, stored.
 
-    So a bucket of n lines gives 2 n pairs at most, and lines meet in six tables; pairs whose
-    fingerprints differ in more than MOST_BITS bits are left out. Buckets are counted first and
-    centres found with map-side combining; rows of lone buckets are mostly dropped before they travel again,
-    and adaptive execution can split the join of a hot bucket.
+    Buckets are counted first; rows of lone ones are mostly dropped before they travel again.
     """
-    bucketed = distinct.select("key", "simhash", F.explode(blocks(F.col("simhash"))).alias("bucket"))
-    shared = bucketed.groupBy("bucket").count().where("count > 1")
+    found = prefixes(rows, rank_cells(rows))
+    shared = found.groupBy("bucket").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low < high")
     cells = settle(shared.select(cell(F.col("bucket"), BUCKET_CELLS).alias("cell")).distinct(), "line-cells")
-    near = (
-        bucketed.withColumn("cell", cell(F.col("bucket"), BUCKET_CELLS)).join(F.broadcast(cells), "cell", "left_semi").drop("cell")
-    )
-    line = F.struct("key", "simhash")
-    centres = near.groupBy("bucket").agg(F.min(line).alias("low"), F.max(line).alias("high")).where("low.key < high.key")
+    near = found.withColumn("cell", cell(F.col("bucket"), BUCKET_CELLS)).join(F.broadcast(cells), "cell", "left_semi").drop("cell")
+    return settle(near.distinct(), "line-near")
+
+
+def _may_be_close(a: str, b: str) -> Column:
+    """What holds for the lengths and parity bits of all lines of the least similarity."""
+    x, y = (lambda c: F.col(f"{a}.{c}")), (lambda c: F.col(f"{b}.{c}"))
+    may = may_differ(F.greatest(x("n"), y("n")))
+    bits = F.bit_count(x("even").bitwiseXOR(y("even"))) + F.bit_count(x("odd").bitwiseXOR(y("odd")))
+    return (F.abs(x("n") - y("n")) <= may) & (bits <= 2 * may)
+
+
+def centre_pairs(near: DataFrame) -> DataFrame:
+    """Pairs (u, v) of line keys: each member of a bucket with its least and largest key.
+
+    They link most members of a group of near copies; rest_pairs() finds what they leave.
+    """
+    line = F.struct("key", "n", "even", "odd").alias("line")
+    near = near.select("bucket", line)
+    centres = near.groupBy("bucket").agg(F.min("line").alias("low"), F.max("line").alias("high")).where("low.key < high.key")
     centres = settle(centres, "line-centres")
-    different = F.bit_count(F.col("simhash").bitwiseXOR(F.col("centre.simhash")))
     return (
         near.join(centres, "bucket")
-        .select("key", "simhash", F.explode(F.array("low", "high")).alias("centre"))
-        .where((F.col("key") != F.col("centre.key")) & (different <= MOST_BITS))
-        .select(F.least("key", "centre.key").alias("u"), F.greatest("key", "centre.key").alias("v"))
+        .select("line", F.explode(F.array("low", "high")).alias("centre"))
+        .where((F.col("line.key") != F.col("centre.key")) & _may_be_close("line", "centre"))
+        .select(F.least("line.key", "centre.key").alias("u"), F.greatest("line.key", "centre.key").alias("v"))
+        .distinct()
+    )
+
+
+def rest_pairs(near: DataFrame, groups: DataFrame) -> DataFrame:
+    """All pairs (u, v) of a bucket's line keys that may be close and are not in one group yet.
+
+    Buckets of one group are left out; others are dealt into pairs of parts, and the tests
+    stand in the join, so that pairs of a group make no rows.
+    """
+    grouped = near.join(groups, "key", "left").withColumn("component", F.coalesce("component", "key")).withColumn("t", F.lit(0))
+    mixed = grouped.groupBy("t", "bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"))
+    mixed = settle(mixed.where("low < high").select("t", "bucket", F.col("n").alias("size")), "line-mixed")
+    line = F.struct("key", "n", "even", "odd", "component")
+    rows = grouped.select("t", "bucket", F.col("key").alias("id"), line.alias("line"))
+    dealt = settle(in_blocks(rows, mixed.withColumnRenamed("size", "n"), BLOCK, "inner"), "line-dealt")
+    at = ["bucket", "low", "high"]
+    first = dealt.where("part = low").select(*at, F.col("line").alias("a"))
+    second = dealt.where("part = high").select(*at, F.col("line").alias("b"))
+    apart = (F.col("a.component") != F.col("b.component")) & ((F.col("low") < F.col("high")) | (F.col("a.key") < F.col("b.key")))
+    return (
+        first.join(second, at)
+        .where(apart & _may_be_close("a", "b"))
+        .select(F.least("a.key", "b.key").alias("u"), F.greatest("a.key", "b.key").alias("v"))
         .distinct()
     )
 
@@ -162,7 +212,7 @@ def verified(pairs: DataFrame, distinct: DataFrame, rows: DataFrame) -> DataFram
         codes.select(F.col("key").alias("v"), F.col("code").alias("b")), "v"
     )
     longest = F.greatest(F.length("a"), F.length("b"))
-    may = F.floor((1 - SIMILARITY) * longest + 1e-9).cast("int")
+    may = may_differ(longest)
     close = F.abs(F.length("a") - F.length("b")) <= may
     # the threshold of levenshtein() is a constant, so the band is that of a class of lengths
     distance = F.lit(-1)
@@ -177,18 +227,17 @@ def repeated_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str
     """Rows (doc, places): the lines, counted from 0, that repeat an earlier one's group.
 
     Lines are compared by their words in lower case, without ASCII signs; those of fewer than
-    LEAST_WORDS words are never dropped. Equal lines, and lines linked by fingerprints and
+    LEAST_WORDS words are never dropped. Equal lines, and all lines linked by
     edit similarity, make connected groups; of each the occurrence with the least
     (id, position) stays. Keys of 64 bits that stand for different lines are
     told by a second hash, and such lines stay. Rows equal in id and text count as one row.
     """
     rows = numbered(docs, id_column, text_column).where(F.col("text").isNotNull())
-    found = settle(fingerprints(rows), "line-fingerprints")
+    found = settle(split_lines(rows), "line-found")
     distinct = settle(
         found.groupBy("key")
         .agg(
             F.min(F.struct("id", "doc", "pos")).alias("first"),
-            F.max("simhash").alias("simhash"),
             F.count("*").alias("n"),
             F.min("check").alias("least"),
             F.max("check").alias("most"),
@@ -197,8 +246,12 @@ def repeated_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str
         .drop("least", "most"),
         "line-distinct",
     )
-    pairs = settle(candidates(distinct), "line-pairs")
+    near = bucketed(rows)
+    pairs = settle(centre_pairs(near), "line-pairs")
     groups = components(verified(pairs, distinct, rows), "line").select(F.col("id").alias("key"), "component")
+    pairs = settle(rest_pairs(near, groups), "line-pairs")
+    edges = groups.select(F.col("key").alias("u"), F.col("component").alias("v")).unionByName(verified(pairs, distinct, rows))
+    groups = components(edges, "line").select(F.col("id").alias("key"), "component")
     # a line matters if it has a copy or a group
     linked = distinct.join(groups, "key", "left").where((F.col("n") > 1) | F.col("component").isNotNull())
     linked = linked.withColumn("component", F.coalesce("component", "key"))
