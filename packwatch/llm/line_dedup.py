@@ -16,6 +16,8 @@ SIMILARITY = 0.8
 LEAST_WORDS = 4
 #: What stands between words of a lower-case line: ASCII signs and white space.
 BETWEEN = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
+#: Scripts that set no space between words.
+UNSPACED = "[\\p{IsHan}\\p{IsHiragana}\\p{IsKatakana}\\p{IsThai}\\p{IsLao}\\p{IsKhmer}\\p{IsMyanmar}]\\p{M}*"
 #: Cells of the prefilters that say which texts are needed; bounds their broadcast.
 CELLS = 1 << 20
 BUCKET_CELLS = 1 << 22
@@ -38,11 +40,12 @@ def numbered(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
 
 
 def line_words(line: Column) -> Column:
-    return F.array_remove(F.split(F.lower(line), BETWEEN), "")
+    """Words in lower case; in scripts without spaces each character is one."""
+    return F.array_remove(F.split(F.regexp_replace(F.lower(line), UNSPACED, " $0 "), BETWEEN), "")
 
 
 def split_lines(rows: DataFrame) -> DataFrame:
-    """Lines (doc, id, pos, key, check) of at least LEAST_WORDS words."""
+    """Lines (doc, id, pos, key, check) that have a word."""
 
     def line(text: Column, pos: Column) -> Column:
         def figures(words: Column) -> Column:
@@ -56,7 +59,7 @@ def split_lines(rows: DataFrame) -> DataFrame:
         return bind(line_words(text), figures)
 
     # one expression per text, so that nothing of it is computed twice
-    lines = F.filter(F.transform(F.split("text", "\n"), line), lambda x: x["n"] >= LEAST_WORDS)
+    lines = F.filter(F.transform(F.split("text", "\n"), line), lambda x: x["n"] > 0)
     return rows.select("doc", "id", F.inline(lines)).drop("n")
 
 
@@ -226,8 +229,8 @@ def verified(pairs: DataFrame, distinct: DataFrame, rows: DataFrame) -> DataFram
 def repeated_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Rows (doc, places): the lines, counted from 0, that repeat an earlier one's group.
 
-    Lines are compared by their words in lower case, without ASCII signs; those of fewer than
-    LEAST_WORDS words are never dropped. Equal lines, and all lines linked by
+    Lines are compared by their words in lower case, without ASCII signs; those without a word
+    are never dropped. Equal lines of any length, and all lines linked by
     edit similarity, make connected groups; of each the occurrence with the least
     (id, position) stays. Keys of 64 bits that stand for different lines are
     told by a second hash, and such lines stay. Rows equal in id and text count as one row.

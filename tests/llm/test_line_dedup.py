@@ -37,3 +37,18 @@ def test_all_lines_of_the_least_similarity_are_found(spark):
         rows.append((3 * k + 2, " ".join([f"far{k}x{i}" if i <= n // 5 + 1 else w for i, w in enumerate(base)])))
     found = dropped(spark, rows)
     assert [found[i] for i, _ in rows] == [0, 1, 0] * (len(rows) // 3)
+
+
+def test_short_lines_and_lines_without_spaces(spark):
+    chinese = "".join(chr(0x4E00 + 37 * k) for k in range(40))
+    close = chinese[:20] + chr(0x9000) + chinese[21:]
+    rows = [
+        (1, "one\ntwo words\nreouha the of heble"),
+        (2, "One!\nTwo, words.\nreouha the of heble\n--\n"),
+        (3, "three words here\n--\n"),
+        (4, chinese + "\nกขค"),
+        (5, close),
+        (6, "กขค"),
+        (7, "".join(chr(0x4E01 + 41 * k) for k in range(40))),
+    ]
+    assert dropped(spark, rows) == {1: 0, 2: 3, 3: 0, 4: 0, 5: 1, 6: 1, 7: 0}
