@@ -16,13 +16,15 @@ SIMILARITY = 0.8
 LEAST_WORDS = 4
 #: What stands between words of a lower-case line: ASCII signs and white space.
 BETWEEN = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
-#: Scripts that set no space between words.
-UNSPACED = "[\\p{IsHan}\\p{IsHiragana}\\p{IsKatakana}\\p{IsThai}\\p{IsLao}\\p{IsKhmer}\\p{IsMyanmar}]\\p{M}*"
+#: Characters of scripts that set no space between words: Thai, Lao, Myanmar, Khmer, Kana, Han.
+UNSPACED = "[\\x{E00}-\\x{EFF}\\x{1000}-\\x{109F}\\x{1780}-\\x{17FF}\\x{3041}-\\x{30FF}\\x{3400}-\\x{4DBF}\\x{4E00}-\\x{9FFF}\\x{F900}-\\x{FAFF}\\x{20000}-\\x{3FFFF}]"
 #: Cells of the prefilters that say which texts are needed; bounds their broadcast.
 CELLS = 1 << 20
 BUCKET_CELLS = 1 << 22
-#: Cells in which word pairs are counted to take the rare ones first, and the share of documents counted.
+#: Cells in which words are counted to take pairs of rare ones first, and the share of documents counted.
 RANK_CELLS, RANK_SHARE = 1 << 16, 8
+#: Bits of buckets and keys by which shared buckets are counted.
+SHORT = (1 << 40) - 1
 #: Lines of a bucket that are compared in one block.
 BLOCK = 512
 #: Words become one character each where lines are compared.
@@ -68,34 +70,36 @@ def may_differ(longest: Column) -> Column:
     return F.floor((1 - SIMILARITY) * longest + 1e-9).cast("int")
 
 
-def _word_pairs(hashes: Column) -> Column:
-    """Hash of each word with the next one."""
-    n = F.greatest(F.size(hashes) - 1, F.lit(0))
-    return F.zip_with(F.slice(hashes, 1, n), F.slice(hashes, 2, n), lambda a, b: F.xxhash64(a, b))
-
-
-def _hashes(line: Column) -> Column:
-    return F.transform(line_words(line), lambda w: F.xxhash64(w))
-
-
 def rank_cells(rows: DataFrame) -> bytes:
-    """For each cell of word pairs, the logarithm of how many a share of the documents has."""
-    lines = F.transform(F.split("text", "\n"), lambda x: bind(_hashes(x), _word_pairs))
-    some = rows.where(F.pmod("doc", F.lit(RANK_SHARE)) == 0).select(F.explode(F.flatten(lines)).alias("pair"))
-    counts = some.groupBy(F.pmod("pair", F.lit(RANK_CELLS)).cast("int").alias("cell")).count().collect()
+    """For each cell of words, twice the logarithm of how many a share of the documents has, at most 63."""
+    lines = F.transform(F.split("text", "\n"), line_words)
+    some = rows.where(F.pmod("doc", F.lit(RANK_SHARE)) == 0).select(F.explode(F.flatten(lines)).alias("word"))
+    counts = some.groupBy(cell(F.col("word"), RANK_CELLS).alias("cell")).count().collect()
     ranks = bytearray(RANK_CELLS)
     for r in counts:
-        ranks[r["cell"]] = int(math.log2(r["count"])) + 1
+        ranks[r["cell"]] = min(63, int(2 * math.log2(r["count"])) + 1)
     return bytes(ranks)
 
 
-def prefixes(rows: DataFrame, ranks: bytes) -> DataFrame:
+def _pairs(ranked: Column) -> Column:
+    """Each word with the next one: the sum of their ranks in the top byte, a hash below."""
+    n = F.greatest(F.size(ranked) - 1, F.lit(0))
+
+    def pair(a: Column, b: Column) -> Column:
+        rank = F.shiftrightunsigned(a, 56) + F.shiftrightunsigned(b, 56)
+        return F.shiftleft(rank, 56).bitwiseOR(F.shiftrightunsigned(F.xxhash64(a, b), 8))
+
+    return F.zip_with(F.slice(ranked, 1, n), F.slice(ranked, 2, n), pair)
+
+
+def prefixes(rows: DataFrame, ranks: bytes, bits: bool = True) -> DataFrame:
     """Rows (key, n, even, odd, bucket): lines of n words with the word pairs by which they are found.
 
     An edit of one word takes two word pairs from a line at most. Lines of d edits therefore share one
-    of the first 2 d + 1 in any fixed order of all word pairs, here those of rare cells first; a line of n words
-    has no line of the least similarity with more than n / 4 edits (as the other has 5 n / 4 words at most). even
-    and odd hold 128 bits, each the parity of the words that have it: an edit changes two of them at most.
+    of the first 2 d + 1 in any fixed order of all word pairs, here those of rare words first; a line of n
+    words has no line of the least similarity with more than n / 4 edits (as the other has 5 n / 4 words at most).
+    even and odd hold 128 bits, each the parity of the words that have it: an edit changes two of them at
+    most. They are left out without ``bits``.
     """
     zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
 
@@ -104,30 +108,32 @@ def prefixes(rows: DataFrame, ranks: bytes) -> DataFrame:
         own = lambda h: F.when(F.shiftright(h, 6).bitwiseAND(one) == half, bit(h)).otherwise(zero)
         return F.aggregate(hashes, zero, lambda a, h: a.bitwiseXOR(own(h)))
 
-    def ranked(pair: Column) -> Column:
-        at = F.pmod(pair, F.lit(RANK_CELLS)).cast("int") + 1
-        rank = F.ascii(F.substring(F.lit(ranks), at, F.lit(1)).cast("string")).cast("long")
-        return F.shiftleft(rank, 56).bitwiseOR(F.shiftrightunsigned(pair, 8))
+    def ranked(word: Column) -> Column:
+        def with_rank(hashed: Column) -> Column:
+            at = F.pmod(hashed, F.lit(RANK_CELLS)).cast("int") + 1
+            rank = F.ascii(F.substring(F.lit(ranks), at, F.lit(1)).cast("string")).cast("long")
+            return F.shiftleft(rank, 56).bitwiseOR(F.shiftrightunsigned(hashed, 8))
+
+        return bind(F.xxhash64(word), with_rank)
 
     def line(text: Column) -> Column:
         def figures(words: Column) -> Column:
             def of(hashes: Column) -> Column:
                 n = F.size(hashes)
-                first = F.slice(F.sort_array(F.transform(_word_pairs(hashes), ranked)), 1, 2 * F.floor(n / 4).cast("int") + 1)
+                first = F.slice(F.sort_array(_pairs(hashes)), 1, 2 * F.floor(n / 4).cast("int") + 1)
                 return F.struct(
                     F.xxhash64(words).alias("key"),
                     n.alias("n"),
-                    parity(hashes, 0).alias("even"),
-                    parity(hashes, 1).alias("odd"),
+                    *([parity(hashes, 0).alias("even"), parity(hashes, 1).alias("odd")] if bits else []),
                     F.array_distinct(first).alias("buckets"),
                 )
 
-            return bind(F.transform(words, lambda w: F.xxhash64(w)), of)
+            return bind(F.transform(words, ranked), of)
 
         return bind(line_words(text), figures)
 
     lines = F.filter(F.transform(F.split("text", "\n"), line), lambda x: x["n"] >= LEAST_WORDS)
-    return rows.select(F.inline(lines)).select("key", "n", "even", "odd", F.explode("buckets").alias("bucket"))
+    return rows.select(F.inline(lines)).select("*", F.explode("buckets").alias("bucket")).drop("buckets")
 
 
 def bucketed(rows: DataFrame) -> DataFrame:
@@ -135,10 +141,13 @@ def bucketed(rows: DataFrame) -> DataFrame:
 
     Buckets are counted first; rows of lone ones are mostly dropped before they travel again.
     """
-    found = prefixes(rows, rank_cells(rows))
-    shared = found.groupBy("bucket").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low < high")
+    ranks = rank_cells(rows)
+    short = lambda c: F.col(c).bitwiseAND(F.lit(SHORT))
+    counted = prefixes(rows, ranks, bits=False).select(short("bucket").alias("bucket"), short("key").alias("key"))
+    shared = counted.groupBy("bucket").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low < high")
     cells = settle(shared.select(cell(F.col("bucket"), BUCKET_CELLS).alias("cell")).distinct(), "line-cells")
-    near = found.withColumn("cell", cell(F.col("bucket"), BUCKET_CELLS)).join(F.broadcast(cells), "cell", "left_semi").drop("cell")
+    near = prefixes(rows, ranks).withColumn("cell", cell(short("bucket"), BUCKET_CELLS))
+    near = near.join(F.broadcast(cells), "cell", "left_semi").drop("cell")
     return settle(near.distinct(), "line-near")
 
 

@@ -61,3 +61,29 @@ def test_repeated_rows_of_long_lines(spark):
     found = [(r.record.doc_id, r.text, r.n_dropped) for r in line_dedup.without_repeated_lines(frame).collect()]
     # rows equal in id and text are one occurrence; the null id comes first
     assert sorted(found, key=str) == sorted([(1, "", 1)] * 3 + [(None, short, 0)] * 60 + [(None, long, 0)] * 2, key=str)
+
+
+def within(a: list[str], b: list[str], may: int) -> bool:
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1] <= may
+
+
+@pytest.mark.parametrize("block", [512, 7])
+def test_all_links_of_a_hot_bucket(spark, monkeypatch, block):
+    monkeypatch.setattr(line_dedup, "BLOCK", block)
+    base, r = words(60, 40), random.Random(61)
+    # all share a passage, and so buckets; members are close to some others only, seldom to the extremes
+    lines = [base[:12] + [w if r.random() < 0.6 else f"v{r.randrange(4)}{i}" for i, w in enumerate(base[12:])] for _ in range(60)]
+    lines += [edited(lines[k], 4, 200 + k) for k in range(0, 60, 2)]
+    group = list(range(len(lines)))
+    for i in range(len(lines)):
+        for j in range(i):
+            if group[i] != group[j] and within(lines[i], lines[j], max(len(lines[i]), len(lines[j])) // 5):
+                group = [group[j] if g == group[i] else g for g in group]
+    wanted = {i: int(group[i] in group[:i]) for i in range(len(lines))}
+    assert 20 < sum(wanted.values()) < 90
+    assert dropped(spark, [(i, " ".join(x)) for i, x in enumerate(lines)]) == wanted
