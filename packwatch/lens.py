@@ -85,6 +85,36 @@ def raw_frames(events: DataFrame) -> DataFrame:
     )
 
 
+def messages(events: DataFrame) -> DataFrame:
+    """Frames as the messages that vehicles send, with the time and number by which they are put in order."""
+    fields = {
+        "vin": "vin",
+        "msgTime": "date_format(msg_ts, 'yyyy-MM-dd HH:mm:ss.SSSSSS')",
+        "chargeStatus": "charge_status",
+        "soc": "soc_text",
+        "province": "province",
+        "enterprise": "enterprise",
+    }
+    document = ", ".join(f"'{name}', {value}" for name, value in fields.items())
+    return frames(events).selectExpr("msg_us", "frame_id", f"to_json(named_struct({document})) AS value")
+
+
+def landings(found: DataFrame, parts: int) -> list[DataFrame]:
+    """Messages cut by time into stretches of about equal size, to arrive one after the other.
+
+    Within a stretch, messages of the same instant share a file, in order of their number.
+    """
+    share = [i / parts for i in range(1, parts)]
+    bounds = found.agg(F.percentile_approx("msg_us", share).alias("b")).first()["b"] or []
+    edges = [None, *sorted(set(bounds)), None]
+    out = []
+    for low, high in zip(edges[:-1], edges[1:], strict=True):
+        here = found if low is None else found.where(F.col("msg_us") > low)
+        here = here if high is None else here.where(F.col("msg_us") <= high)
+        out.append(here.repartitionByRange("msg_us").sortWithinPartitions("msg_us", "frame_id").select("value"))
+    return out
+
+
 def weekly_frames(events: DataFrame) -> DataFrame:
     """Frames under the names of the clean layer, as the weekly statistics read them."""
     return frames(events).selectExpr(

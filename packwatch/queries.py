@@ -13,7 +13,8 @@ from packwatch.operators import models, sessions, signals
 from packwatch.operators.boxplot import quartiles, with_fences
 from packwatch.operators.histogram import array_text
 from packwatch.plans import charging, classify, health, warnings, weekly
-from packwatch.session import settle
+from packwatch.session import settle, work_folder
+from packwatch.sources import readers
 from packwatch.sources.readers import clean_frames
 from packwatch.streaming import detectors
 
@@ -21,6 +22,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 LAST_N = 3
 ORDER = ["msg_us", "frame_id"]
+# stretches of time in which a stream arrives
+PARTS = 2
 
 
 def _events(spark: SparkSession, folder: str) -> DataFrame:
@@ -386,31 +389,46 @@ def bms_inputs(spark, folder):
 # --- streams ---
 
 
-def _stream(spark, folder):
-    schema = _events(spark, folder).schema
-    # the glob finds the table whether it is one file or a folder of files
-    events = spark.readStream.schema(schema).parquet(f"{folder}/events.parque[t]")
-    return lens.frames(events).select("vin", "msg_us", "frame_id", "charge_status", "soc_pct")
+def _streamed(spark, folder, detect):
+    """What a detector finds in the events, which arrive as JSON messages in PARTS stretches of time.
+
+    The detector is started anew for each, on what has arrived since its last run.
+    """
+    landed, state = work_folder(spark, "messages"), work_folder(spark, "detector")
+    found = None
+    for i, part in enumerate(lens.landings(lens.messages(_events(spark, folder)), PARTS)):
+        part.write.parquet(f"{landed}/{i:04d}")
+        arrived = readers.message_stream(spark, "parquet", path=f"{landed}/*")
+        # none of them is broken, so none needs to be read a second time for the dead letters
+        found = detect(readers.frame_messages(arrived).where("NOT broken").drop("broken", "message"), state)
+    return found
+
+
+def _status(code):
+    return F.col("chargeStatus") == code
+
+
+def _streamed_sessions(spark, folder):
+    return _streamed(spark, folder, lambda s, state: detectors.run_sessions(s, _status("1"), state))
 
 
 def stream_sessions(spark, folder):
-    found = detectors.run_sessions(_stream(spark, folder), lens.charging())
-    return found.select(*SESSION_COLUMNS)
+    return _streamed_sessions(spark, folder).select(*SESSION_COLUMNS)
 
 
 def stream_large(spark, folder):
-    found = detectors.run_sessions(_stream(spark, folder), lens.charging())
-    return sessions.large_charges(found).select(*SESSION_COLUMNS)
+    return sessions.large_charges(_streamed_sessions(spark, folder)).select(*SESSION_COLUMNS)
 
 
 def stream_last_n(spark, folder):
-    return _last_n(detectors.run_last_n(_stream(spark, folder), lens.charging(), LAST_N))
+    return _last_n(_streamed(spark, folder, lambda s, state: detectors.run_last_n(s, _status("1"), LAST_N, state)))
 
 
 def stream_pattern(spark, folder):
-    found = detectors.run_pattern(
-        _stream(spark, folder), F.col("charge_status") == "1", F.col("charge_status") == "0"
-    )
+    def detect(s, state):
+        return detectors.run_pattern(s, _status("1"), _status("0"), folder=state)
+
+    found = _streamed(spark, folder, detect)
     return found.select("vin", "msg_us")
 
 

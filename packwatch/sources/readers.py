@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +12,10 @@ from packwatch import schemas
 from packwatch.functions.scalars import percent_ratio
 from packwatch.sources.fields import DOCUMENTS
 
+MESSAGE = schemas.struct(value=schemas.TEXT)
+#: What the detectors read of a frame.
+DETECTED = ("vin", "msgTime", "startupStatus", "chargeStatus", "soc")
+
 
 def message_stream(
     spark: SparkSession, format: str = "kafka", **options: str
@@ -19,13 +23,35 @@ def message_stream(
     """Lines or messages of a stream as one text column ``value``.
 
     ``format`` is any streaming source: ``kafka`` (servers and topic as options),
-    ``socket`` (host and port) or ``text`` (a folder, as ``path``).
+    ``socket`` (host and port), ``text`` or ``parquet`` (a folder, as ``path``). The options also
+    bound what a micro-batch takes in: ``maxFilesPerTrigger``, ``maxBytesPerTrigger``, ``maxOffsetsPerTrigger``.
+
+    ``source_at`` is a message's place in its source, the same whenever it is read again: the
+    offset of its topic's partition, or the row of its file. Sources that number nothing
+    have a hash of the message there.
     """
-    return (
-        spark.readStream.format(format)
-        .options(**options)
-        .load()
-        .select(F.col("value").cast("string").alias("value"))
+    reader = spark.readStream.format(format).options(**options)
+    if format == "parquet":
+        reader = reader.schema(MESSAGE)
+    raw = reader.load()
+    place = {"kafka": F.col("offset"), "parquet": F.col("_metadata.row_index")}.get(format, F.xxhash64("value"))
+    return raw.select(F.col("value").cast("string").alias("value"), place.alias("source_at"))
+
+
+def frame_messages(messages: DataFrame, fields: Sequence[str] = DETECTED) -> DataFrame:
+    """Typed frames as the detectors take them, from the messages of :func:`message_stream`.
+
+    The clean frame's columns named in ``fields``, ``msg_us`` (microseconds), ``soc_pct``, and ``frame_id``, the place
+    in the source, which tells frames of one vehicle and instant apart. ``broken`` marks messages that are no JSON, or without a
+    vehicle or a readable time; they keep their text in ``message`` and have no place among the frames.
+    """
+    clean = clean_frames(messages.withColumn("message", F.col("value")), "value", fields).withColumnRenamed("source_at", "frame_id")
+    return clean.withColumns(
+        {
+            "msg_us": F.unix_micros("msg_ts"),
+            "soc_pct": F.round(F.col("soc") * 100, 8),
+            "broken": F.col("vin").isNull() | F.col("msg_ts").isNull(),
+        }
     )
 
 
@@ -42,13 +68,15 @@ def epoch_or_text_time(c: Column | str) -> Column:
     )
 
 
-def clean_frames(raw: DataFrame, column: str = "data") -> DataFrame:
+def clean_frames(raw: DataFrame, column: str = "data", fields: Sequence[str] | None = None) -> DataFrame:
     """Typed frames from raw JSON, plus ``msg_ts``; other columns (``dt``) are kept.
 
     The text is parsed once. Numbers may be JSON numbers or text; what does not parse
-    becomes NULL. ``soc`` changes from ``"80%"`` to a ratio.
+    becomes NULL. ``soc`` changes from ``"80%"`` to a ratio. ``fields`` names those
+    that are read, ``msgTime`` among them.
     """
-    texts = schemas.struct(**dict.fromkeys(schemas.FRAME_FIELDS, schemas.TEXT))
+    kinds = {n: k for n, k in schemas.FRAME_FIELDS.items() if fields is None or n in fields}
+    texts = schemas.struct(**dict.fromkeys(kinds, schemas.TEXT))
     rest = [c for c in raw.columns if c != column]
 
     def typed(name: str, kind: T.DataType) -> Column:
@@ -59,7 +87,7 @@ def clean_frames(raw: DataFrame, column: str = "data") -> DataFrame:
 
     return (
         raw.select(F.from_json(column, texts).alias("_f"), *rest)
-        .select(*[typed(n, k) for n, k in schemas.FRAME_FIELDS.items()], *rest)
+        .select(*[typed(n, k) for n, k in kinds.items()], *rest)
         .withColumn("msg_ts", epoch_or_text_time("msgTime"))
     )
 

@@ -11,6 +11,14 @@ from streams import charging, file_stream
 SCHEMA = "vin string, msg_us long, frame_id long, charge_status string, soc_pct double"
 
 
+@pytest.fixture(autouse=True)
+def few_states(spark):
+    """Every state partition starts a Python worker in every batch."""
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
 @pytest.fixture(scope="module")
 def rows():
     rng = random.Random(9)
@@ -29,7 +37,7 @@ def parts(rows, n):
 
 
 @pytest.mark.parametrize("n", [1, 3])
-def test_sessions_equal_batch(spark, rows, tmp_path, hot, n):
+def test_sessions_equal_batch(spark, rows, tmp_path, n):
     batch = sessions(session_rows(spark.createDataFrame(rows, SCHEMA), charging()))
     columns = ["vin", "start_us", "end_us", "start_soc", "end_soc"]
     want = sorted(map(tuple, batch.select(*columns).collect()))
@@ -144,3 +152,108 @@ def test_records_for_notifications(spark, tmp_path):
         (f"{start}2", f"{start}4", "plate", 20 / 3600),
         (f"{start}3", f"{start}7", "plate", 40 / 3600),
     ]
+
+
+def test_restart_of_the_pattern_with_nothing_new(spark, tmp_path):
+    """Rows still waiting come from the state store, whichever run put them there."""
+    out, first, then = str(tmp_path / "out"), charging(), F.col("charge_status") == "0"
+    stream = file_stream(spark, tmp_path, [one_vehicle([(10, "1", 20.0), (40, "0", 0.0)])], SCHEMA)
+    want = [("v", 10, 40)]
+    for _ in range(2):
+        found = detectors.run_pattern(stream, first, then, folder=out).collect()
+        assert [tuple(r) for r in found] == want
+
+
+def test_no_message_at_all(spark, tmp_path):
+    stream = file_stream(spark, tmp_path, [[]], SCHEMA)
+    assert detectors.run_sessions(stream, charging(), str(tmp_path / "a")).count() == 0
+    assert detectors.run_pattern(stream, charging(), charging(), folder=str(tmp_path / "b")).count() == 0
+
+
+def test_late_rows_are_dropped_and_counted(spark, tmp_path):
+    s = 1_000_000
+    batches = [
+        one_vehicle([(10 * s, "1", 0.0), (20 * s, "0", 0.0)]),
+        one_vehicle([(19 * s + 5_000, "1", 0.0), (18 * s, "0", 0.0), (17 * s, "0", 0.0)]),  # one within the second
+        one_vehicle([(30 * s, "1", 0.0)]),
+    ]
+    stream = file_stream(spark, tmp_path, batches, SCHEMA)
+    query = detectors.start_pattern(stream, charging(), F.col("charge_status") == "0", str(tmp_path / "out"))
+    query.awaitTermination()
+    assert detectors.late_rows(query) == 2
+    found = detectors.found_rows(spark, str(tmp_path / "out"), detectors.MATCH)
+    assert [tuple(r) for r in found.collect()] == [("v", 19 * s + 5_000, 20 * s)]
+
+
+def test_rows_delivered_twice_count_once(spark, tmp_path):
+    s = 1_000_000
+    batches = [[("v", 10 * s, 1, "1", 0.0), ("v", 10 * s + 1, 2, "0", 0.0)], [("v", 10 * s, 1, "1", 0.0)], [("v", 30 * s, 3, "1", 0.0)]]
+    stream = file_stream(spark, tmp_path, batches, SCHEMA)
+    out = str(tmp_path / "out")
+    once = ("vin", "msg_us", "frame_id")
+    detectors.start_pattern(stream, charging(), charging(), out, 5 * s, once_by=once).awaitTermination()
+    assert detectors.found_rows(spark, out, detectors.MATCH).count() == 0
+    again = str(tmp_path / "again")
+    detectors.start_pattern(stream, charging(), charging(), again, 5 * s).awaitTermination()
+    assert detectors.found_rows(spark, again, detectors.MATCH).count() == 1  # the same row, next to itself
+
+
+def test_a_timer_closes_silent_sessions(spark, tmp_path):
+    s = 1_000_000
+    batches = [
+        [("a", 10 * s, 1, "1", 20.0), ("a", 12 * s, 2, "1", 30.0), ("b", 11 * s, 3, "1", 50.0)],
+        [("b", 60 * s, 4, "1", 60.0)],
+        [("b", 200 * s, 5, "1", 70.0)],
+        [("c", 230 * s, 6, "1", 1.0)],
+    ]
+    stream = file_stream(spark, tmp_path, batches, SCHEMA)
+    out = str(tmp_path / "out")
+    found = sorted(map(tuple, detectors.run_sessions(stream, charging(), out, silence_us=100 * s).collect()))
+    # a falls silent for good; b sends again within the silence, and then too late
+    assert found[0] == ("a", 10 * s, 12 * s, 20.0, 30.0)
+    assert [f[0] for f in found[1:]] in ([], ["b"])
+
+
+def test_state_touched_is_that_of_the_batch(spark, tmp_path):
+    many = [(f"v{i}", 10, i, "1", 1.0) for i in range(50)]
+    stream = file_stream(spark, tmp_path, [many, [("v7", 20, 99, "0", 1.0)]], SCHEMA)
+    query = detectors.start_sessions(stream, charging(), str(tmp_path / "out"))
+    query.awaitTermination()
+    touched = [(o.numRowsUpdated, o.numRowsRemoved) for p in query.recentProgress for o in p.stateOperators if p.numInputRows]
+    assert touched == [(50, 0), (0, 1)] or [sum(t) for t in touched] == [50, 1]
+
+
+MESSAGES = [
+    '{"vin":"v","msgTime":"1970-01-01 00:00:10.000001","chargeStatus":"1","soc":"57%"}',
+    "no message",
+    '{"vin":"v","msgTime":"20000","chargeStatus":"1","soc":"81%"}',
+    '{"msgTime":"30000"}',
+    '{"vin":"v","msgTime":"never","chargeStatus":"0"}',
+    '{"vin":"v","msgTime":"30000","chargeStatus":"0"}',
+]
+WANT = [("v", 10_000_001, 20_000_000, 57.0, 81.0)]
+
+
+@pytest.mark.parametrize("format", ["text", "parquet"])
+def test_messages_enter_every_detector(spark, tmp_path, format):
+    """Raw JSON in batches of one file: sessions, last n and pattern, broken messages beside them, none lost or doubled."""
+    def arrived():
+        return readers.frame_messages(readers.message_stream(spark, format, path=f"{tmp_path}/in/*", maxFilesPerTrigger="1"))
+
+    def land(i):
+        spark.createDataFrame([(MESSAGES[i],)], "value string").coalesce(1).write.format(format).save(f"{tmp_path}/in/{i}")
+
+    charge, end = F.col("chargeStatus") == "1", F.col("chargeStatus") == "0"
+    for stop in (4, 6, 6):
+        for i in range(0 if stop == 4 else 4, stop):
+            if not (tmp_path / "in" / str(i)).exists():
+                land(i)
+        found = detectors.run_sessions(arrived(), charge, str(tmp_path / "s")).collect()
+        recent = detectors.run_last_n(arrived(), charge, 1, str(tmp_path / "n")).collect()
+        pairs = detectors.run_pattern(arrived(), charge, end, folder=str(tmp_path / "p")).collect()
+    assert [tuple(r) for r in found] == WANT
+    assert [(r.start_us, [tuple(m) for m in r.recent]) for r in recent] == [(10_000_001, [(10_000_001, 20_000_000)])]
+    assert [tuple(r) for r in pairs] == [("v", 20_000_000, 30_000_000)]
+    for place in "snp":
+        letters = detectors.dead_letters(spark, str(tmp_path / place))
+        assert sorted(r.value for r in letters.collect()) == sorted([MESSAGES[1], MESSAGES[3], MESSAGES[4]])
