@@ -1,7 +1,7 @@
 """The scheduled jobs: read stored tables, compute one period, store the result.
 
-Each job takes its moment as ``as_of`` and replaces exactly the partitions of its period,
-so running it again gives the same tables. ``Layout`` names the table folders.
+Each job takes its moment as ``as_of`` and replaces exactly the partition of its period as a whole,
+so running it again gives the same tables, and an empty run empties its period. ``Layout`` names the table folders.
 """
 
 from __future__ import annotations
@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from packwatch import schemas
 from packwatch.functions.calendar import previous_day, previous_month, previous_week
 from packwatch.plans import charging, classify, warnings, weekly
-from packwatch.sources.readers import clean_frames, read_frames
-from packwatch.sources.writers import overwrite_table, write_documents, write_partitions
+from packwatch.sources.readers import clean_frames, read_frames, read_stored
+from packwatch.sources.writers import overwrite_table, write_documents, write_period
 
 TEXT, WHOLE = schemas.TEXT, schemas.WHOLE
 HOURLY_WARNINGS = schemas.struct(
@@ -45,33 +45,36 @@ class Layout:
 def load_day(raw: DataFrame, layout: Layout, day: date) -> None:
     """Clean the raw frames of one day into its partition."""
     clean = clean_frames(raw.where(F.col("dt") == f"{day}"))
-    write_partitions(clean, layout.table("frames"), ["dt"])
+    write_period(clean, layout.table("frames"), {"dt": f"{day}"})
 
 
 def hourly_warnings(found: DataFrame, layout: Layout, as_of: datetime) -> None:
     """Warnings of the last full hour; the hour is a partition below its day."""
     counted = warnings.hourly_warnings(found, as_of)
-    write_partitions(counted, layout.table("warnings_hourly"), ["year", "month", "day", "dt"])
-    hour = f"{warnings.previous_hour(as_of)[0]:%Y-%m-%d-%H}"
+    start = warnings.previous_hour(as_of)[0]
+    period = {"year": f"{start:%Y}", "month": f"{start:%m}", "day": f"{start:%d}", "dt": f"{start:%Y-%m-%d %H}"}
+    write_period(counted, layout.table("warnings_hourly"), period)
+    hour = f"{start:%Y-%m-%d-%H}"
     rows = counted.drop("year", "month", "day")
     publish(rows, layout, "warninginfo_statistic_perhour", hour)
 
 
 def daily_warnings(spark: SparkSession, layout: Layout, as_of: date) -> None:
-    stored = spark.read.schema(HOURLY_WARNINGS).parquet(layout.table("warnings_hourly"))
+    stored = read_stored(spark, layout.table("warnings_hourly"), HOURLY_WARNINGS)
     day = f"{previous_day(as_of)[0]}"
     publish(warnings.daily_warnings(stored, as_of), layout, "warninginfo_statistic_perday", day)
 
 
 def hourly_failures(found: DataFrame, layout: Layout, as_of: datetime) -> None:
     counted = warnings.hourly_failures(found, as_of)
-    write_partitions(counted, layout.table("failures_hourly"), ["day", "dt"])
-    hour = f"{warnings.previous_hour(as_of)[0]:%Y-%m-%d-%H}"
+    start = warnings.previous_hour(as_of)[0]
+    write_period(counted, layout.table("failures_hourly"), {"day": f"{start:%Y-%m-%d}", "dt": f"{start:%Y-%m-%d %H}"})
+    hour = f"{start:%Y-%m-%d-%H}"
     publish(counted.drop("day"), layout, "failure_statistics_perhour", hour)
 
 
 def daily_failures(spark: SparkSession, layout: Layout, as_of: date) -> None:
-    stored = spark.read.schema(HOURLY_FAILURES).parquet(layout.table("failures_hourly"))
+    stored = read_stored(spark, layout.table("failures_hourly"), HOURLY_FAILURES)
     day = f"{previous_day(as_of)[0]}"
     publish(warnings.daily_failures(stored, as_of), layout, "failure_statistics_perday", day)
 
@@ -123,7 +126,7 @@ def monthly_classes(
         stored = spark.read.schema(CLASSES).parquet(layout.table("classes"))
         last = stored.where(F.col("dt") == previous_month(as_of)).drop("dt")
         found = classify.merge_classes(now, last, month)
-    write_partitions(found, layout.table("classes"), ["dt"])
+    write_period(found, layout.table("classes"), {"dt": month})
 
 
 def current_histograms(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -110,6 +111,16 @@ def read_frames(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(stamped).parquet(path)
 
 
+def read_stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A stored table; no rows where nothing has been stored yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def read_delimited(spark: SparkSession, path: str, table: str) -> DataFrame:
     """One of the tab-separated tables of ``schemas.DELIMITED``."""
     return spark.read.schema(schemas.DELIMITED[table]).option("sep", "\t").csv(path)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
@@ -65,6 +66,19 @@ def write_partitions(
     )
 
 
+def write_period(df: DataFrame, path: str, period: Mapping[str, str]) -> None:
+    """Replace one partition as a whole by the rows of ``df``, also by none at all.
+
+    ``period`` names the partition, outermost column first; those columns of ``df`` are left out of its
+    files. All rows must belong there.
+    """
+    for name, value in period.items():
+        if not re.fullmatch(r"[\w .+-]+", value):
+            raise ValueError(f"{name}={value!r} is no plain partition value")
+    folder = "/".join([path, *(f"{name}={value}" for name, value in period.items())])
+    df.drop(*period).hint("rebalance").write.mode("overwrite").parquet(folder)
+
+
 def on_each_batch(
     stream: DataFrame, run: Callable[[DataFrame, int], None], checkpoint: str
 ) -> DataStreamWriter:

@@ -5,7 +5,7 @@ from datetime import date, datetime
 
 import pytest
 
-from packwatch.plans import jobs
+from packwatch.plans import jobs, late, warnings
 
 
 @pytest.fixture()
@@ -103,3 +103,91 @@ def test_current_histograms(spark, layout):
     jobs.current_histograms(frames, records, layout, date(1970, 1, 2))
     row = documents(spark, layout, "charge_current_frequency").first()
     assert (row.chargeType, row.chargeCurrentFrequency[1], row.time) == ("0", 4, "1970-01-01")
+
+
+WARNED = (
+    "vin string, vehicle_type string, enterprise string, province string, warning_type string, "
+    "warning_start_time timestamp, risk_level string, review_status string"
+)
+
+
+def warned(spark, *times):
+    return spark.createDataFrame([("v", "T", "e", "p", "w", t, "1", "1") for t in times], WARNED)
+
+
+def stored_hours(spark, layout):
+    rows = jobs.read_stored(spark, layout.table("warnings_hourly"), jobs.HOURLY_WARNINGS).collect()
+    return sorted((r.dt, r.total) for r in rows)
+
+
+def test_an_empty_rerun_empties_its_period(spark, layout):
+    at = datetime(2024, 1, 1, 9, 30)
+    jobs.hourly_warnings(warned(spark, at, datetime(2024, 1, 1, 8, 1)), layout, datetime(2024, 1, 1, 9, 5))
+    jobs.hourly_warnings(warned(spark, at), layout, datetime(2024, 1, 1, 10, 5))
+    assert stored_hours(spark, layout) == [("2024-01-01 08", 1), ("2024-01-01 09", 1)]
+    jobs.hourly_warnings(warned(spark), layout, datetime(2024, 1, 1, 10, 5))
+    assert stored_hours(spark, layout) == [("2024-01-01 08", 1)]
+    jobs.daily_warnings(spark, layout, date(2024, 1, 2))
+    assert documents(spark, layout, "warninginfo_statistic_perday").first().total == 1
+    raw = spark.createDataFrame([('{"vin":"v"}', "2024-01-01")], "data string, dt string")
+    jobs.load_day(raw, layout, date(2024, 1, 1))
+    jobs.load_day(raw.where("false"), layout, date(2024, 1, 1))
+    assert jobs.read_frames(spark, layout.table("frames")).count() == 0
+
+
+def test_a_day_without_any_stored_table(spark, layout):
+    jobs.daily_warnings(spark, layout, date(2024, 1, 2))
+    jobs.daily_failures(spark, layout, date(2024, 1, 2))
+    for index in ("warninginfo_statistic_perday", "failure_statistics_perday"):
+        assert spark.read.text(f"{layout.root}/documents/{index}").count() == 0
+
+
+def test_period_values_are_plain(spark, tmp_path):
+    with pytest.raises(ValueError):
+        jobs.write_period(spark.range(1), str(tmp_path), {"dt": "../x"})
+
+
+def test_late_files_rerun_their_hours_and_days_only(spark, layout, tmp_path):
+    t = datetime
+    source = str(tmp_path / "warnings")
+    ran = []
+
+    def land(name, *times):
+        warned(spark, *times).coalesce(1).write.mode("overwrite").parquet(f"{source}/{name}")
+
+    def refresh(hour_job=jobs.hourly_warnings):
+        def hour(found, where, as_of):
+            ran.append(as_of)
+            hour_job(found, where, as_of)
+
+        read = spark.read.schema(WARNED).parquet(f"{source}/*")
+        return late.refresh(read, layout, "warnings", "warning_start_time", hour, jobs.daily_warnings)
+
+    def from_scratch():
+        return sorted(map(tuple, warnings.hourly_warnings(spark.read.schema(WARNED).parquet(f"{source}/*")).select("dt", "total").collect()))
+
+    land("a", t(2024, 1, 1, 9, 1), t(2024, 1, 1, 10, 1), t(2024, 1, 2, 3, 1))
+    land("b", t(2024, 1, 1, 10, 2), None)
+    assert refresh() == [t(2024, 1, 1, 9), t(2024, 1, 1, 10), t(2024, 1, 2, 3)]
+    assert stored_hours(spark, layout) == from_scratch() == [("2024-01-01 09", 1), ("2024-01-01 10", 2), ("2024-01-02 03", 1)]
+    assert refresh() == []
+    # a late file: one hour that was there, one that was not
+    land("c", t(2024, 1, 1, 9, 59), t(2024, 1, 3, 0, 0))
+    assert refresh() == [t(2024, 1, 1, 9), t(2024, 1, 3, 0)]
+    assert stored_hours(spark, layout) == from_scratch()
+    # a run that breaks off is made up for by the next
+    land("d", t(2024, 1, 2, 3, 5))
+
+    def broken(*_):
+        raise RuntimeError
+
+    with pytest.raises(RuntimeError):
+        refresh(broken)
+    assert refresh() == [t(2024, 1, 2, 3)] and stored_hours(spark, layout) == from_scratch()
+    # files replaced by ones without rows: their hours become empty, and so does the day
+    land("c")
+    assert refresh() == [t(2024, 1, 1, 9), t(2024, 1, 3, 0)]
+    assert stored_hours(spark, layout) == from_scratch() == [("2024-01-01 09", 1), ("2024-01-01 10", 2), ("2024-01-02 03", 2)]
+    daily = documents(spark, layout, "warninginfo_statistic_perday").collect()
+    assert sorted((r.dt, r.total) for r in daily) == [("2024-01-01", 3), ("2024-01-02", 2)]
+    assert refresh() == [] and len(ran) == 9
