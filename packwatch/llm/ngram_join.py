@@ -245,10 +245,11 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     repeated = settle(found.groupBy("id").count().where("count > 1 AND id IS NOT NULL").select(F.col("id").alias("doc_id")), "text-repeated")
     # only ids that occur more than once need their rows compared
     several = left.join(repeated, "doc_id", "left_semi").where(worded)
-    first = several.withColumn("_one", F.row_number().over(Window.partitionBy("doc_id", "text").orderBy(F.lit(0)))).where("_one = 1")
+    nth = F.row_number().over(Window.partitionBy("row.doc_id", "row.text").orderBy(F.lit(0)))
+    several = several.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")).withColumn("nth", nth)
     return (
         left.join(repeated, "doc_id", "left_anti")
         .unionByName(left.join(repeated, "doc_id", "left_semi").where(~worded))
-        .unionByName(first.drop("_one"))
-        .select(*docs.columns)
+        .unionByName(several.where("nth = 1").select("row.*"))
+        .select(*[F.col(f"`{c}`") for c in docs.columns])
     )

@@ -61,13 +61,14 @@ def external_shuffle(
     empty table gives no rows. A text longer than a bucket makes a bucket alone.
     """
     spark = docs.sparkSession
+    ident, text = F.col(f"`{id_column}`"), F.col(f"`{text_column}`")
     rows = docs.count()
     cells = int(min(MOST_CELLS, max(1, rows // CELL_ROWS)))
-    hashed = F.xxhash64(F.lit(seed), F.col(id_column), F.col(text_column))
+    hashed = F.xxhash64(F.lit(seed), ident, text)
     dealt = docs.select(
         F.pmod(hashed, F.lit(cells)).cast("int").alias("cell"),
-        F.xxhash64(F.lit(seed + 1), F.col(id_column), F.col(text_column)).alias("tie"),
-        record_size(text_column).alias("size"),
+        F.xxhash64(F.lit(seed + 1), ident, text).alias("tie"),
+        record_size(text).alias("size"),
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("record"),
     )
     sizes = dealt.groupBy("cell").agg(F.sum("size").alias("bytes"), F.count("*").alias("rows"))

@@ -303,3 +303,15 @@ def test_pipeline(spark, library, tmp_path):
     got = {r.doc_id for r in found}
     assert got == set(expected) and emptied == {2, 3}
     check_packing(found, library, [(i, "" if i in emptied else t) for i, t in expected.items()])
+
+
+def test_columns_with_any_name(spark):
+    """Names that an operator uses itself, and names with a dot."""
+    rows = [(1, prose(1, 30), 5, 6), (1, prose(1, 30), 5, 6), (2, prose(2, 30), 7, 8), (None, None, 0, 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _one int, nth int")
+    kept = one_of_each(docs)
+    assert kept.columns == docs.columns
+    assert sorted(map(tuple, kept.collect()), key=repr) == sorted(rows[1:], key=repr)
+    dotted = docs.withColumnsRenamed({"doc_id": "doc.id", "text": "the.text", "nth": "cell.x"})
+    found = external_shuffle(dotted, work_folder(spark, "test-shards"), 2, id_column="doc.id", text_column="the.text").collect()
+    assert sorted((tuple(r["record"]) for r in found), key=repr) == sorted(rows, key=repr)
