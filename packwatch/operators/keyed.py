@@ -278,17 +278,20 @@ def in_windows(
     start: str,
     end: str,
     disjoint: bool = False,
-    bin_width: int = 86_400_000_000,
 ) -> DataFrame:
     """Rows joined to the windows of their key that contain them, both ends included.
 
-    Windows that overlap no other one need no pairwise comparison: each row looks back
-    to the latest window opened before it, in one ordered pass. Overlapping windows, if
-    any, are matched per (key, time bin). ``disjoint=True`` states that none overlap.
+    Times are whole numbers. Windows that overlap no other one need no pairs: each row looks back
+    to the latest window opened before it, in one ordered pass. Those that do overlap are cut at each other's
+    ends into stretches, in each of which the same windows are open; rows find their stretch in such a pass too,
+    and by it their windows. A window makes as many rows as ends of others lie in it, however
+    long it is. Windows without a start or end, or ending before they start, contain nothing.
+    ``disjoint=True`` states that none overlap.
     """
     extra = [c for c in windows.columns if c not in keys]
     if disjoint:
         return _latest_window(rows, windows, keys, at, start, end, extra)
+    windows = windows.where(F.col(start) <= F.col(end))
     marked = scan(
         slices(windows, keys, start, [end]),
         keys,
@@ -300,21 +303,34 @@ def in_windows(
         F.coalesce(F.col("_after") > F.col(end), F.lit(True))
     )
     single = marked.where(alone).select(*windows.columns)
-    shared = marked.where(~alone).select(
-        *windows.columns,
-        F.explode(
-            F.sequence(F.floor(F.col(start) / bin_width), F.floor(F.col(end) / bin_width))
-        ).alias("_bin"),
-    )
-    matched = (
-        rows.withColumn("_bin", F.floor(F.col(at) / bin_width))
-        .join(shared, [*keys, "_bin"])
-        .where(F.col(at).between(F.col(start), F.col(end)))
-        .select(*rows.columns, *extra)
-    )
+    shared = marked.where(~alone).select(*windows.columns)
+    stretches, opened = _stretches(shared, keys, start, end)
+    placed = _latest_window(rows, stretches, keys, at, "_from", "_to", ["_from", "_to", "_stretch"])
+    matched = placed.join(opened, [*keys, "_stretch"]).select(*rows.columns, *extra)
     return _latest_window(rows, single, keys, at, start, end, extra).unionByName(matched)
 
 
+def _stretches(windows, keys, start, end):
+    """Between all ends of a key's windows: stretches (_from, _to, _stretch), and the windows open in each."""
+    after = F.least(F.col(end).cast("long"), F.lit((1 << 63) - 2)) + 1
+    begin = F.col(start).cast("long")
+    ends = windows.select(*keys, F.explode(F.array(begin, after)).alias("_from")).distinct()
+    cut = slices(ends, keys, "_from")
+    numbered = positions(cut, keys, ["_from"], "_stretch").drop(*cut_columns(cut))
+    numbered = settle(numbered.select(*keys, "_from", "_stretch"), "window-ends")
+    following = numbered.select(*keys, (F.col("_stretch") - 1).alias("_stretch"), (F.col("_from") - 1).alias("_to"))
+    first = numbered.select(*keys, F.col("_from").alias("_begin"), F.col("_stretch").alias("_first"))
+    last = numbered.select(*keys, F.col("_from").alias("_after"), F.col("_stretch").alias("_last"))
+    opened = (
+        windows.withColumns({"_begin": begin, "_after": after})
+        .join(first, [*keys, "_begin"])
+        .join(last, [*keys, "_after"])
+        .withColumn("_stretch", F.explode(F.sequence(F.col("_first"), F.col("_last") - 1)))
+        .drop("_begin", "_after", "_first", "_last")
+    )
+    return numbered.join(following, [*keys, "_stretch"]), opened
+
+
 def _latest_window(rows, windows, keys, at, start, end, extra):
     markers = windows.select(
         *keys,

@@ -412,6 +412,23 @@ SELECT vin, frames, {up('impedance', 6)} AS impedance, {up('mean_current', 6)} A
   CASE WHEN frames > 50 AND impedance >= CASE
     WHEN mean_current >= 50 OR (mean_current > 45 AND peak_current > 50) THEN 11 ELSE 9 END
   THEN '1' ELSE '0' END AS is_warning
+FROM scored""",
+    "impedance_windows": f"""WITH {FRAMES}, {RUNS}, {SESSIONS},
+starts AS (SELECT vin, start_us FROM sessions WHERE end_soc - start_soc > 40),
+windows AS (
+  SELECT vin, start_us, start_us + 864000000000 AS end_us FROM starts
+  UNION ALL SELECT vin, 0, start_us FROM starts),
+scored AS (
+  SELECT vin, w.start_us, w.end_us, count(*) AS frames, avg(cell_spread * 1000 / total_current) FILTER (strong) AS impedance,
+    avg(total_current) FILTER (strong) AS mean_current, max(total_current) FILTER (strong) AS peak_current
+  FROM (SELECT *, is_on AND total_current > 5 AS strong FROM frames) f JOIN windows w USING (vin)
+  WHERE msg_us BETWEEN w.start_us AND w.end_us GROUP BY ALL
+)
+SELECT vin, start_us, end_us, frames, {up('impedance', 6)} AS impedance, {up('mean_current', 6)} AS mean_current,
+  {up('peak_current', 6)} AS peak_current,
+  CASE WHEN frames > 50 AND impedance >= CASE
+    WHEN mean_current >= 50 OR (mean_current > 45 AND peak_current > 50) THEN 11 ELSE 9 END
+  THEN '1' ELSE '0' END AS is_warning
 FROM scored""",
     "resistance_drop": f"""WITH {FRAMES},
 numbered AS (

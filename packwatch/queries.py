@@ -328,6 +328,22 @@ def impedance_flag(spark, folder):
     return _rounded(found.drop("start_us", "end_us"), 6, "impedance", "mean_current", "peak_current")
 
 
+def impedance_windows(spark, folder):
+    """Impedance over the ten days from the start of each large charge, and over all time up to each: windows that overlap."""
+    frames = _frames(spark, folder).select(
+        "vin",
+        "msg_us",
+        "cell_spread",
+        F.when(lens.charging(), -F.col("total_current")).otherwise(F.col("total_current")).alias("total_current"),
+    )
+    starts = sessions.large_charges(sessions.sessions(_session_rows(spark, folder))).select("vin", "start_us")
+    ten_days = starts.select("vin", "start_us", (F.col("start_us") + 10 * 86_400_000_000).alias("end_us"))
+    before = starts.select("vin", F.lit(0).cast("long").alias("start_us"), F.col("start_us").alias("end_us"))
+    wanted = settle(ten_days.unionByName(before), "windows")
+    found = health.run_models(frames, wanted, lambda f: health.impedance_run(f, slow_limit=9.0, fast_limit=11.0, slow_mean=45.0))
+    return _rounded(found, 6, "impedance", "mean_current", "peak_current")
+
+
 def resistance_drop(spark, folder):
     frames = _frames(spark, folder).select("vin", "msg_us", "frame_id", "resistance")
     return _rounded(
@@ -462,6 +478,7 @@ QUERIES: dict[str, Query] = {
         spread_trend,
         spread_line,
         impedance_flag,
+        impedance_windows,
         resistance_drop,
         fluctuation_flag,
         cell_dispersion,

@@ -116,8 +116,7 @@ def test_pattern(frames, hot):
     assert want and got == sorted(want)
 
 
-@pytest.mark.parametrize("width", [60, 86_400_000_000])
-def test_windows_with_and_without_overlap(spark, frames, hot, width):
+def test_windows_with_and_without_overlap(spark, frames, hot):
     rows, df = frames
     windows = [
         ("a", 1_000, 1_400, "w1"),
@@ -129,11 +128,13 @@ def test_windows_with_and_without_overlap(spark, frames, hot, width):
         ("a", 12_000, 12_400, "w7"),
         ("c", 0, 99_999, "w8"),
         ("e", 0, 99_999, "w9"),
+        ("b", 0, 2**63 - 1, "x1"),  # all time, twice, and an instant in it
+        ("b", 0, 2**63 - 1, "x2"),
+        ("b", 2_000, 2_000, "x3"),
+        ("b", 5_000, 4_000, "x4"),  # ends before it starts
     ]
     table = spark.createDataFrame(windows, "vin string, start_us long, end_us long, name string")
-    got = keyed.in_windows(
-        df, table, ["vin"], "msg_us", "start_us", "end_us", bin_width=width
-    )
+    got = keyed.in_windows(df, table, ["vin"], "msg_us", "start_us", "end_us")
     got = sorted((r.frame_id, r.name) for r in got.collect())
     want = sorted(
         (r[2], w[3]) for r in rows for w in windows if r[0] == w[0] and w[1] <= r[1] <= w[2]
@@ -141,6 +142,20 @@ def test_windows_with_and_without_overlap(spark, frames, hot, width):
     assert want and got == want
 
 
+def test_long_windows_make_few_rows(spark):
+    """Windows of ten years and from the year 1970 on, in days that would be thousands of bins."""
+    year = 365 * 86_400_000_000
+    windows = [("v", 0, 54 * year, "a"), ("v", 44 * year, 54 * year, "b"), ("v", 50 * year, 51 * year, "c"), ("w", None, 5, "d")]
+    table = spark.createDataFrame(windows, "vin string, start_us long, end_us long, name string")
+    stretches, opened = keyed._stretches(table.where("name <> 'd'"), ["vin"], "start_us", "end_us")
+    assert stretches.count() == 4 and opened.count() == 4 + 3 + 1
+    rows = spark.createDataFrame([("v", t * year, t) for t in (0, 43, 44, 50, 52, 54, 55)] + [("w", 1, 1)], "vin string, msg_us long, frame_id long")
+    got = keyed.in_windows(rows, table, ["vin"], "msg_us", "start_us", "end_us").collect()
+    assert sorted((r.frame_id, r.name) for r in got) == [
+        (0, "a"), (43, "a"), (44, "a"), (44, "b"), (50, "a"), (50, "b"), (50, "c"), (52, "a"), (52, "b"), (54, "a"), (54, "b"),
+    ]
+
+
 def test_keys_without_value_are_left_out(spark, hot):
     df = spark.createDataFrame(
         [(None, 1, 1, "1", 1.0)] * 5 + [("a", 1, 2, "1", 1.0), ("a", 2, 3, "0", 1.0)],
