@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date
+from datetime import date, datetime, timezone
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -131,14 +131,19 @@ def current_histograms(
     """Charging frames per 5 A bucket, by province, vehicle type, vehicle and charge type.
 
     ``records`` is read several times, so it should be a stored table. With ``as_of`` the
-    records that ended on the day before count, and frames of that day and the one before
-    it are read.
+    records that ended on the day before count, and frames are read from the partition before the one in which
+    the earliest of them began (their ``dt`` may be a day of another time zone) up to that day.
     """
     if as_of is not None:
         day, after = previous_day(as_of)
         ended = F.col("end_us")
         records = records.where((ended >= day_micros(day)) & (ended < day_micros(after)))
-        frames = frames.where(F.col("dt").isin(f"{day}", f"{previous_day(day)[0]}"))
+        begun = records.agg(F.min("start_us").alias("us")).first()["us"]
+        if begun is None:
+            frames = frames.where(F.lit(False))
+        else:
+            earliest = min(day, datetime.fromtimestamp(begun // 1_000_000, timezone.utc).date())
+            frames = frames.where(F.col("dt").between(f"{previous_day(earliest)[0]}", f"{day}"))
     charging = frames.where(F.col("charge_status") == "1").select(
         "vin", "province", "vehicle_type", "msg_us", "total_current"
     )

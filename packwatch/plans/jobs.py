@@ -8,14 +8,16 @@ from __future__ import annotations
 
 import os
 from dataclasses import dataclass
-from datetime import date, datetime, timedelta
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from packwatch import schemas
 from packwatch.functions.calendar import previous_day, previous_month, previous_week
+from packwatch.operators.sessions import sessions
 from packwatch.plans import charging, classify, warnings, weekly
+from packwatch.session import settle
 from packwatch.sources.readers import clean_frames, read_frames, read_stored
 from packwatch.sources.writers import overwrite_table, write_documents, write_period
 
@@ -31,6 +33,13 @@ HOURLY_FAILURES = schemas.struct(
 CLASSES = schemas.struct(enterprise=TEXT, vin=TEXT, classification=TEXT, dt=TEXT)
 
 
+OPEN_CHARGES = schemas.struct(vin=TEXT, start_us=WHOLE, dt=TEXT)
+RECORDS = schemas.struct(
+    vin=TEXT, license_plate=TEXT, start_us=WHOLE, end_us=WHOLE, start_soc=schemas.NUMBER, end_soc=schemas.NUMBER,
+    ampere_hours=schemas.NUMBER, charge_type=TEXT, province=TEXT, vehicle_type=TEXT, enterprise=TEXT, dt=TEXT,
+)
+
+
 @dataclass(frozen=True)
 class Layout:
     root: str
@@ -129,6 +138,67 @@ def monthly_classes(
     write_period(found, layout.table("classes"), {"dt": month})
 
 
+def plan_frames(spark: SparkSession, layout: Layout) -> DataFrame:
+    """The stored clean frames under the names that session and model plans take.
+
+    Frames have no number of their own, so a hash of the whole frame orders those of one vehicle and instant. Rows
+    without a vehicle or a time have no place in a session and are left out.
+    """
+    clean = read_frames(spark, layout.table("frames"))
+    return clean.where("vin IS NOT NULL AND msg_ts IS NOT NULL").select(
+        "vin",
+        F.unix_micros("msg_ts").alias("msg_us"),
+        F.xxhash64(*[F.col(c) for c in clean.columns]).alias("frame_id"),
+        F.col("chargeStatus").alias("charge_status"),
+        "soc",
+        F.round(F.col("soc") * 100, 8).alias("soc_pct"),
+        F.col("totalCurrent").alias("total_current"),
+        F.col("maxCellVoltageNum").try_cast("int").alias("max_cell_num"),
+        F.col("minCellVoltageNum").try_cast("int").alias("min_cell_num"),
+        F.col("differenceCellVoltage").alias("cell_spread"),
+        "resistance",
+        "province",
+        F.col("vehicleType").alias("vehicle_type"),
+        "enterprise",
+        "dt",
+    )
+
+
+def daily_charges(spark: SparkSession, base: DataFrame, layout: Layout, as_of: date) -> None:
+    """Records of the charges that closed yesterday, whenever they began, stored and published.
+
+    A table keeps which charges were still open at the end of a day, and since when. The next day reads its own
+    frames, and earlier ones of just those vehicles, back to where the earliest of them began.
+    """
+    day, _ = previous_day(as_of)
+    eve = previous_day(day)[0]
+    frames = plan_frames(spark, layout)
+    still = read_stored(spark, layout.table("open_charges"), OPEN_CHARGES).where(F.col("dt") == f"{eve}").drop("dt")
+    found = frames.where(F.col("dt") == f"{day}")
+    begun = still.agg(F.min("start_us").alias("us")).first()["us"]
+    if begun is not None:
+        first = min(eve, datetime.fromtimestamp(begun // 1_000_000, timezone.utc).date())
+        earlier = frames.where(F.col("dt").between(f"{previous_day(first)[0]}", f"{eve}")).join(still, "vin")
+        found = found.unionByName(earlier.where(F.col("msg_us") >= F.col("start_us")).drop("start_us"))
+    rows = charging.own_rows(found, F.col("charge_status") == "1")
+    counted = settle(charging.charge_records(rows, base), "charge-records")
+    kept = counted.select(*[F.col(c) for c in RECORDS.names if c != "dt"])
+    write_period(kept, layout.table("charge_records"), {"dt": f"{day}"})
+    opened = sessions(rows, keep_open=True).where("NOT closed").select("vin", "start_us")
+    write_period(opened, layout.table("open_charges"), {"dt": f"{day}"})
+    publish(counted, layout, "charge_record", f"{day}")
+
+
+def stored_charges(spark: SparkSession, layout: Layout) -> DataFrame:
+    """The charge records as stored, with their times in microseconds."""
+    return read_stored(spark, layout.table("charge_records"), RECORDS)
+
+
+def daily_current_histograms(spark: SparkSession, layout: Layout, as_of: date) -> None:
+    """Current histograms of yesterday's charges, from the stored frames and records."""
+    current_histograms(plan_frames(spark, layout), stored_charges(spark, layout), layout, as_of)
+
+
 def current_histograms(
     frames: DataFrame, records: DataFrame, layout: Layout, as_of: date
 ) -> None:

@@ -191,3 +191,52 @@ def test_late_files_rerun_their_hours_and_days_only(spark, layout, tmp_path):
     daily = documents(spark, layout, "warninginfo_statistic_perday").collect()
     assert sorted((r.dt, r.total) for r in daily) == [("2024-01-01", 3), ("2024-01-02", 2)]
     assert refresh() == [] and len(ran) == 9
+
+
+def test_raw_messages_to_records_and_histograms(spark, layout):
+    """JSON frames of three days: a charge over midnights, one within a day, one left open; each day run twice."""
+    def frame(vin, at, status, soc, current):
+        doc = {
+            "vin": vin, "msgTime": at, "chargeStatus": status, "soc": f"{soc}%", "totalCurrent": current, "maxCellVoltageNum": "3",
+            "minCellVoltageNum": "4", "province": "p", "vehicleType": "t", "enterprise": "e",
+        }
+        return json.dumps(doc), at[:10]
+
+    raw = spark.createDataFrame(
+        [
+            frame("a", "2024-01-01 22:00:00", "1", 20, 10.0),
+            frame("a", "2024-01-01 23:00:00", "1", 30, 10.0),
+            frame("b", "2024-01-01 09:00:00", "1", 40, 7.0),
+            frame("b", "2024-01-01 10:00:00.250001", "1", 50, 7.0),
+            frame("b", "2024-01-01 11:00:00", "0", 50, 0.0),
+            frame("a", "2024-01-02 12:00:00", "1", 60, 10.0),
+            frame("a", "2024-01-03 01:00:00", "1", 85, 10.0),
+            frame("a", "2024-01-03 02:00:00", "0", 85, 0.0),
+            frame("c", "2024-01-03 03:00:00", "1", 5, 1.0),
+            ("no json", "2024-01-03"),
+        ],
+        "data string, dt string",
+    )
+    base = spark.createDataFrame([("a", "A-1"), ("b", "B-1"), ("c", "C-1")], "vin string, license_plate string")
+    for day in (1, 2, 3):
+        for _ in range(2):
+            jobs.load_day(raw, layout, date(2024, 1, day))
+            jobs.daily_charges(spark, base, layout, date(2024, 1, day + 1))
+            jobs.daily_current_histograms(spark, layout, date(2024, 1, day + 1))
+    hour = 3_600_000_000
+    start = 1_704_067_200_000_000
+    got = {r.vin: r for r in jobs.stored_charges(spark, layout).collect()}
+    assert sorted((r.vin, r.dt, r.start_us - start, r.end_us - start, r.license_plate) for r in got.values()) == [
+        ("a", "2024-01-03", 22 * hour, 49 * hour, "A-1"),
+        ("b", "2024-01-01", 9 * hour, 10 * hour + 250_001, "B-1"),
+    ]
+    assert got["a"].ampere_hours == pytest.approx(270.0) and got["a"].end_soc == 0.85
+    stored = jobs.read_stored(spark, layout.table("open_charges"), jobs.OPEN_CHARGES).collect()
+    assert sorted((r.dt, r.vin) for r in stored) == [("2024-01-01", "a"), ("2024-01-02", "a"), ("2024-01-03", "c")]
+    counted = documents(spark, layout, "charge_current_frequency").collect()
+    # four frames of a in the bucket from 10 to 15 A, two of b in that from 5 to 10 A
+    assert sorted((r.time, r.chargeCurrentFrequency[2], r.chargeCurrentFrequency[1]) for r in counted) == [
+        ("2024-01-01", 0, 2),
+        ("2024-01-03", 4, 0),
+    ]
+    assert documents(spark, layout, "charge_record").count() == 2

@@ -260,3 +260,15 @@ def test_models_over_windows(spark, hot):
     assert flags(health.resistance_run) == {(0, 59): "0", (0, 119): "1", (100, 110): "0"}
     assert set(flags(health.sampling_run).values()) == {None}
     assert [tuple(r) for r in health.whole_history(frames).collect()] == [("v", 0, 119)]
+
+
+def test_current_histogram_of_a_charge_begun_days_before(spark):
+    day = 86_400_000_000
+    frames = spark.createDataFrame(
+        [("v", d * day + 5, d, "1", 0.5, 7.0, 1, 1, "p", "t", "e", f"1970-01-0{d + 1}") for d in range(5)], FRAME
+    )
+    records = spark.createDataFrame(
+        [("v", 5, 4 * day + 5, "0", "p")], "vin string, start_us long, end_us long, charge_type string, province string"
+    )
+    found = charging.current_histograms(frames, records, as_of=date(1970, 1, 6)).first()
+    assert (found.frequency[1], sum(found.frequency)) == (5, 5)
