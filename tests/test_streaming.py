@@ -257,3 +257,43 @@ def test_messages_enter_every_detector(spark, tmp_path, format):
     for place in "snp":
         letters = detectors.dead_letters(spark, str(tmp_path / place))
         assert sorted(r.value for r in letters.collect()) == sorted([MESSAGES[1], MESSAGES[3], MESSAGES[4]])
+
+
+def test_sessions_start_two_models_once(spark, tmp_path):
+    """Frames to sessions to two indexes; one sink fails at first, and the finished one is not run again."""
+    s = 1_000_000
+    fields = "charge_status string, soc double, total_current double, cell_spread double, max_cell_num int, min_cell_num int"
+    rows = [(v, t * s, t, st, 0.1 * t, -10.0, 0.05, 1, 2, "p", "t", "e") for v in "ab" for t, st in ((1, "1"), (2, "1"), (3, "0"))]
+    frames = spark.createDataFrame(rows, f"vin string, msg_us long, frame_id long, {fields}, province string, vehicle_type string, enterprise string")
+    base = spark.createDataFrame([("a", "A-1"), ("b", "B-1")], "vin string, license_plate string")
+    detector = str(tmp_path / "detector")
+    stream = file_stream(spark, tmp_path, [[(r[0], r[1], r[2], r[3], 50.0) for r in rows]], SCHEMA)
+    detectors.run_sessions(stream, charging(), detector)
+
+    runs, path = [], str(tmp_path / "models")
+    records, impedance = triggers.record_model(frames, base), triggers.impedance_model(frames)
+
+    def counted(batch):
+        runs.append("records")
+        return records(batch)
+
+    def fails_once(batch):
+        runs.append("impedance")
+        if runs.count("impedance") == 1:
+            raise RuntimeError("lost")
+        return impedance(batch)
+
+    outputs = {"records": (counted, "charge_record"), "impedance": (fails_once, "connection_impedance_es")}
+    for attempt in range(3):
+        found = triggers.closed_sessions(spark, detector)
+        query = triggers.fan_out(found, outputs, path, str(tmp_path / "cp")).trigger(availableNow=True).start()
+        if attempt == 0:
+            with pytest.raises(Exception, match="lost"):
+                query.awaitTermination()
+        else:
+            query.awaitTermination()
+    assert runs == ["records", "impedance", "impedance"]
+    got = spark.read.json(f"{path}/records/query=*").select("vin", "chargeStartTime", "licensePlate").collect()
+    assert sorted(map(tuple, got)) == [(v, "1970-01-01 00:00:01", f"{v.upper()}-1") for v in "ab"]
+    flags = spark.read.json(f"{path}/impedance/query=*").select("vin", "chargeStartTime", "isWarning").collect()
+    assert sorted(map(tuple, flags)) == [(v, "1970-01-01 00:00:01", "0") for v in "ab"]
