@@ -5,13 +5,15 @@ first); between two positions it is interpolated. Groups of fewer than three row
 no first quartile and drop out.
 
 Ordinary groups are ranked with one window. A group with more than ``hot_rows`` rows is
-never sorted: it is narrowed to the few values around the wanted positions with rounds
-of value histograms, which combine on the map side.
+never sorted: a mergeable sketch of its values brackets the wanted positions, and one exact
+count, combined on the map side, tells the few rows within the brackets.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,7 +24,12 @@ from packwatch.operators.keyed import hot_keys, hot_rows, present
 from packwatch.session import settle
 
 QUARTERS = (1, 2, 3)
-BINS = 4096
+#: Quantiles read from a sketch, and how many of them a bracket reaches beyond its position.
+GRID, MARGIN = 1024, 4
+#: Size of a sketch: about 0.13 % of rank error, of the 0.39 % that a bracket allows.
+SKETCH = 4096
+#: Wanted positions: the lower and the upper one of each quartile.
+WANTED = 2 * len(QUARTERS)
 
 
 def quartiles(
@@ -33,16 +40,14 @@ def quartiles(
     ``small=True`` states that no group can be large, which saves measuring them.
     """
     df = present(df, groups).select(*groups, *[F.col(m).cast("double").alias(m) for m in metrics])
-    finite = {m: F.when(F.abs(m) < float("inf"), F.col(m)) for m in metrics}
-    ends = [F.struct(F.min(c).alias("lo"), F.max(c).alias("hi")).alias(f"_{m}") for m, c in finite.items()]
-    hot = None if small else hot_keys(df, groups, *ends)
+    hot = None if small else hot_keys(df, groups)
     if hot is None:
         return _ranked(_long(df, groups, metrics), groups)
     known = hot.select(*groups)
     ordinary = _long(df.join(known, list(groups), "left_anti"), groups, metrics)
     large = _long(df.join(known, list(groups), "left_semi"), groups, metrics)
-    entry = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(f"_{m}.*")) for m in metrics])
-    cells = hot.select(*groups, "n", F.inline(entry).alias("metric", "_lo", "_hi"))
+    metric = F.explode(F.array(*[F.lit(m) for m in metrics])).alias("metric")
+    cells = hot.select(*groups, metric, "n")
     return _ranked(ordinary, groups).unionByName(_narrowed(large, cells, groups))
 
 
@@ -72,12 +77,14 @@ def _ranked(long: DataFrame, groups: Sequence[str]) -> DataFrame:
 
 
 def _narrowed(long: DataFrame, cells: DataFrame, groups: Sequence[str]) -> DataFrame:
-    """Quartiles of hot groups, given their sizes and value ranges.
-
-    Each round counts the values of a cell in equal-width bins and keeps the bins that
-    hold a wanted rank, until these have no more than ``hot_rows`` rows or one value each.
-    NULL, the infinities and NaN have bins of their own. Every round parts the least value
-    of a bin from its greatest, so rounds end. Cells, at most six per hot group and metric,
+    """Quartiles of hot groups, given their sizes.
+
+    Each round sketches the values of a cell, takes two of its values around each wanted position
+    as pivots, counts the values below, at, between and above them, and keeps the parts that hold a
+    wanted rank, until these have no more than ``hot_rows`` rows or one value each. Counts are
+    exact, so a pivot that misses costs a round and not the result; a part holds about one row in
+    a hundred, whatever the spread of the values, and never the pivots of its cell, so rounds
+    end. NULL and NaN have parts of their own. Cells, at most six per hot group and metric,
     are settled, so that every later step sees the same ones and the planner knows their
     size; so are the rows left after a round.
     """
@@ -89,29 +96,11 @@ def _narrowed(long: DataFrame, cells: DataFrame, groups: Sequence[str]) -> DataF
         "_ranks", F.transform(ranks, lambda r: F.struct(r.alias("rank"), r.alias("left")))
     )
     rows = long
-    value, low, high = F.col("value"), F.col("_lo"), F.col("_hi")
     level = 0
     while True:
-        cell = f"_bin{level}"
-        width = F.nullif(high - low, F.lit(0.0))
-        # halves where the width itself is beyond a double
-        share = F.when(width < float("inf"), (value - low) / width).otherwise(
-            (value / 2 - low / 2) / F.nullif(high / 2 - low / 2, F.lit(0.0))
-        )
-        place = F.coalesce(F.least(F.floor(share * BINS), F.lit(BINS - 1)), F.lit(0))
-        rows = rows.join(cells.select(*keys, "_lo", "_hi"), keys).select(
-            *keys,
-            "value",
-            F.when(value.isNull(), -2)
-            .when(value == float("-inf"), -1)
-            .when(value == float("inf"), BINS)
-            .when(F.isnan(value), BINS + 1)
-            .otherwise(place)
-            .cast("long")
-            .alias(cell),
-        )
-        if level:
-            rows = settle(rows, "narrowed")
+        cell = f"_part{level}"
+        pivots = settle(_pivots(rows, cells, keys), "pivots")
+        rows = rows.join(pivots, keys).select(*keys, "value", _part(F.col("value")).alias(cell))
         counted = rows.groupBy(*keys, cell).agg(
             F.count(F.lit(1)).alias("_c"), F.min("value").alias("_lo"), F.max("value").alias("_hi")
         )
@@ -120,6 +109,7 @@ def _narrowed(long: DataFrame, cells: DataFrame, groups: Sequence[str]) -> DataF
         largest = cells.where(F.col("_lo") < F.col("_hi")).agg(F.max("_c")).first()[0]
         if largest is None or largest <= hot_rows(long):
             break
+        rows = settle(rows.join(cells.select(*keys), keys), "narrowed")
         level += 1
     values = (
         rows.join(cells.select(*keys), keys)
@@ -140,6 +130,43 @@ def _narrowed(long: DataFrame, cells: DataFrame, groups: Sequence[str]) -> DataF
     return picked.groupBy(*by, "n").agg(*[at(q).alias(f"q{q}") for q in QUARTERS])
 
 
+def _pivots(rows: DataFrame, cells: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Values ``_p0, _p1, ...`` of every cell, two around each wanted position, by a sketch."""
+    sketched = rows.groupBy(*keys).agg(
+        F.kll_sketch_agg_double("value", F.lit(SKETCH)).alias("_sketch"),
+        F.count_if(F.col("value").isNull()).alias("_nulls"),
+    )
+    known = F.kll_sketch_get_n_double("_sketch")
+    grid = F.array(*[F.lit(i / GRID) for i in range(GRID + 1)])
+    # a sketch takes neither NULL nor NaN
+    quantiles = F.when(known > 0, F.kll_sketch_get_quantile_double("_sketch", grid))
+    found = cells.select(*keys, "_ranks").join(
+        sketched.select(*keys, "_nulls", known.alias("_known"), quantiles.alias("_grid")), list(keys)
+    )
+
+    def around(k: int) -> list[Column]:
+        at = (F.get("_ranks", F.lit(k))["left"] - F.col("_nulls")) * GRID / F.col("_known")
+        low = F.greatest(F.least(F.floor(at) - MARGIN, F.lit(GRID)), F.lit(0))
+        high = F.greatest(F.least(F.ceil(at) + MARGIN, F.lit(GRID)), F.lit(0))
+        wanted = F.size("_ranks") > k
+        return [F.when(wanted, F.get("_grid", i.cast("int"))) for i in (low, high)]
+
+    pivots = [p for k in range(WANTED) for p in around(k)]
+    return found.where(F.col("_known") > 0).select(
+        *keys, *[p.alias(f"_p{i}") for i, p in enumerate(pivots)]
+    ).unionByName(found.where(F.col("_known") == 0).select(*keys), allowMissingColumns=True)
+
+
+def _part(value: Column) -> Column:
+    """The part of its cell that a value lies in: below, at or above each of the pivots."""
+    pivots = [F.col(f"_p{i}") for i in range(2 * WANTED)]
+    beyond = [
+        F.coalesce((p < value).cast("int") + (p <= value).cast("int"), F.lit(0)) for p in pivots
+    ]
+    place = F.when(value.isNull(), -1).when(F.isnan(value), 2 * len(pivots) + 1)
+    return place.otherwise(reduce(add, beyond)).cast("long")
+
+
 def _holding(
     counted: DataFrame, cells: DataFrame, keys: Sequence[str], order: str
 ) -> DataFrame:

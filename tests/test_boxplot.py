@@ -2,6 +2,7 @@ import random
 
 import pytest
 
+from packwatch.operators import boxplot
 from packwatch.operators.boxplot import quartiles, with_fences
 from packwatch.plans.weekly import exception_documents, pack_exceptions
 
@@ -59,6 +60,9 @@ def test_values_beyond_all_bounds(spark):
         "mixed": [float(i % 97) for i in range(400)] + [inf, -inf, nan, None],
         "wide": [-1.7e308] * 30 + [0.5] * 30 + [1.7e308] * 30,
         "infinite": [inf] * 40 + [1.0, 2.0],
+        "powers": [(-1.0) ** i * 10.0 ** (i % 600 - 300) for i in range(1800)],
+        "nothing": [nan] * 25 + [None] * 25,
+        "null": [None] * 30,
     }
     rows = [(g, v) for g, values in groups.items() for v in values]
     df = spark.createDataFrame(rows, "g string, v double")
@@ -82,6 +86,29 @@ def test_skewed_values(spark, hot):
     )
 
 
+def test_rounds_do_not_depend_on_the_spread(spark, monkeypatch):
+    """Values over 600 powers of ten narrow as fast as evenly spread ones."""
+    rounds = []
+
+    def counting(df, purpose, settle=boxplot.settle):
+        rounds.append(purpose)
+        return settle(df, purpose)
+
+    monkeypatch.setattr(boxplot, "settle", counting)
+    rng = random.Random(2)
+    n, limit = 40_000, 1_000
+    spark.conf.set("spark.packwatch.hotRows", str(limit))
+    found = []
+    try:
+        for values in ([rng.random() for _ in range(n)], [10.0 ** rng.uniform(-300, 300) for _ in range(n)]):
+            rounds.clear()
+            check(spark, {"one": values})
+            found.append(rounds.count("pivots"))
+    finally:
+        spark.conf.unset("spark.packwatch.hotRows")
+    assert found == [1, 1]
+
+
 METRICS = ["a", "b"]
 SIDES = {"a": "above", "b": "below"}
 FIELDS = {"a": "a_exception", "b": "b_exception"}
