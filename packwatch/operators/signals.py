@@ -4,13 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+from pandas.api.indexers import BaseIndexer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from packwatch.functions.scalars import US_PER_DAY, US_PER_SECOND
 from packwatch.operators.keyed import blocks, cut_columns, positions, scan, slices
 
+#: Half-width from which a running median is kept in order rather than sorted anew per row.
+WIDE = 64
+#: Rows of a block there.
+WIDE_BLOCK = 100_000
+
 
 def differences(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], values: Sequence[str]
@@ -58,9 +68,15 @@ def smoothed_steps(
     Row ``i`` of ``n`` takes the median of the ``2 h + 1`` rows around it with
     ``h = min(win, i, n - 1 - i)``, so the window shrinks at both ends. Adds ``smooth``
     and ``step`` (NULL on the first row). Rows without a value are left out.
+
+    Narrow windows are sorted, row by row. From a half-width of ``WIDE`` on, blocks of
+    bounded size go through a running median that adds and removes one value at a
+    time, so its cost grows with the logarithm of the width.
     """
     present = df.where(F.col(value).isNotNull())
     cut = slices(present, keys, order[0], order[1:])
+    if win >= WIDE:
+        return _wide_steps(cut, df.columns, keys, order, value, win, block)
     if cut_columns(cut) or block:
         numbered = positions(cut, keys, order, "_pos")
         placed = blocks(numbered, "_pos", before=win + 1, after=win, size=block)
@@ -82,6 +98,51 @@ def smoothed_steps(
     )
 
 
+class _Around(BaseIndexer):
+    """Windows of ``half`` rows on both sides of each row."""
+
+    def get_window_bounds(self, num_values=0, min_periods=None, center=None, closed=None, step=None):
+        at = np.arange(num_values, dtype=np.int64)
+        return at - self.half, at + self.half + 1
+
+
+def running_median(values: np.ndarray, win: int) -> np.ndarray:
+    """Middle of the ``2 h + 1`` values around each one, ``h = min(win, i, n - 1 - i)``; NaN is the greatest."""
+    at = np.arange(len(values), dtype=np.int64)
+    half = np.minimum(win, np.minimum(at, at[::-1]))
+    # over ranks, as a window of plain values would pass over NaN and infinities
+    known, ranks = np.unique(values, return_inverse=True)
+    middle = pd.Series(ranks.astype("float64")).rolling(_Around(half=half), min_periods=1).median()
+    return known[middle.to_numpy().astype(np.int64)]
+
+
+def _wide_steps(
+    cut: DataFrame,
+    columns: Sequence[str],
+    keys: Sequence[str],
+    order: Sequence[str],
+    value: str,
+    win: int,
+    block: int | None,
+) -> DataFrame:
+    """The same for wide windows, in blocks that repeat ``win`` rows of their neighbours."""
+    numbered = positions(cut, keys, order, "_pos").drop(*cut_columns(cut))
+    placed = blocks(numbered, "_pos", before=win + 1, after=win, size=block or max(WIDE_BLOCK, 4 * win))
+    kind = numbered.schema[value].dataType
+
+    def smoothed(table: pa.Table) -> pa.Table:
+        table = table.sort_by("_pos")
+        column = table.column(value)
+        found = pa.array(running_median(column.to_numpy(), win), column.type)
+        before = pa.concat_arrays([pa.nulls(1, column.type), found[:-1]])
+        table = table.append_column("smooth", found).append_column("_before", before)
+        return table.filter(table.column("_own")).select([*columns, "smooth", "_before"])
+
+    fields = [*numbered.select(*columns).schema, T.StructField("smooth", kind), T.StructField("_before", kind)]
+    found = placed.groupBy(*keys, "_block").applyInArrow(smoothed, T.StructType(fields))
+    return found.withColumn("step", F.col("smooth") - F.col("_before")).select(*columns, "smooth", "step")
+
+
 def positions_where(values: Column, test: Callable[[Column], Column]) -> Column:
     """1-based positions of the array elements that pass the test, in order."""
     marked = F.transform(values, lambda v, i: F.when(test(v), i + 1))

@@ -1,6 +1,8 @@
 import random
 import statistics
+import time
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -41,6 +43,31 @@ def test_median_smoothing(spark, hot, win):
             assert own[0].step is None
 
 
+@pytest.mark.parametrize("block", [None, 90])
+def test_wide_medians(spark, hot, monkeypatch, block):
+    """A median kept in order gives what sorting gives, also for ends, ties, infinities and NaN."""
+    rng = random.Random(6)
+    odd = [float("inf"), float("-inf"), float("nan"), 0.0, 0.0]
+    series = {f"n{n}": [rng.choice(odd) if k % 9 == 0 else rng.random() for k in range(n)] for n in (1, 2, 129, 130, 500)}
+    df = signal(spark, **series)
+    found = signals.smoothed_steps(df, ["vin"], ORDER, "r", signals.WIDE, block).collect()
+    monkeypatch.setattr(signals, "WIDE", 1000)
+    assert sorted(map(str, found)) == sorted(map(str, signals.smoothed_steps(df, ["vin"], ORDER, "r", 64).collect()))
+
+
+def test_cost_of_wide_medians():
+    """Fifty times the width costs a few times as much."""
+    values = np.random.default_rng(7).random(100_000)
+
+    def seconds(win):
+        start = time.process_time()
+        signals.running_median(values, win)
+        return time.process_time() - start
+
+    narrow = min(seconds(20) for _ in range(3))
+    assert min(seconds(1000) for _ in range(3)) < 5 * narrow
+
+
 def test_resistance_drop(spark, hot):
     df = signal(
         spark,
