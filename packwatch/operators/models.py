@@ -243,7 +243,8 @@ def sampling_inputs(
     """Ordered cell numbers of the sampling model, in pieces of at most ``piece`` frames.
 
     The model itself is not defined yet, so ``is_warning`` stays NULL. ``total`` and ``n``
-    of all pieces of a key add up to the mean spread of the whole signal.
+    of all pieces of a key add up to the mean spread of the whole signal; ``sampling_result`` gives one
+    row per key.
     """
     cut = slices(df, keys, order[0], order[1:])
     numbered = positions(cut, keys, order, "_pos").drop(*cut_columns(cut))
@@ -268,6 +269,15 @@ def sampling_inputs(
     )
 
 
+def sampling_result(df: DataFrame, keys: Sequence[str], spread: str) -> DataFrame:
+    """One row per key, however long its signal: frames, mean spread, and the flag, which stays NULL."""
+    return df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("frames"),
+        F.avg(spread).alias("mean_spread"),
+        F.lit(None).cast("string").alias("is_warning"),
+    )
+
+
 def session_gaps(recent: Column | str) -> Column:
     """Days from each session start to the one before it; 0 for the first."""
     return F.transform(

@@ -269,6 +269,10 @@ STATS = ", ".join(
     }.items()
 )
 
+TEN_DAYS = """windows AS (
+  SELECT vin, start_us, start_us + 864000000000 AS end_us FROM sessions WHERE end_soc - start_soc > 40
+)"""
+
 ORACLES: dict[str, str] = {
     "json_extract_frames": f"""WITH {FRAMES}
 SELECT frame_id, vin, CAST(floor(msg_us / 1000) AS BIGINT) AS msg_ms, speed, odo,
@@ -430,6 +434,29 @@ SELECT vin, start_us, end_us, frames, {up('impedance', 6)} AS impedance, {up('me
     WHEN mean_current >= 50 OR (mean_current > 45 AND peak_current > 50) THEN 11 ELSE 9 END
   THEN '1' ELSE '0' END AS is_warning
 FROM scored""",
+    "resistance_windows": f"""WITH {FRAMES}, {RUNS}, {SESSIONS}, {TEN_DAYS},
+inside AS (
+  SELECT vin, w.start_us, w.end_us, msg_us, frame_id, resistance
+  FROM frames f JOIN windows w USING (vin) WHERE msg_us BETWEEN w.start_us AND w.end_us
+),
+numbered AS (
+  SELECT *, row_number() OVER w - 1 AS i, count(*) OVER (PARTITION BY vin, start_us, end_us) AS n,
+    list(resistance) OVER (PARTITION BY vin, start_us, end_us ORDER BY msg_us, frame_id
+      ROWS BETWEEN 20 PRECEDING AND 20 FOLLOWING) AS around
+  FROM inside WINDOW w AS (PARTITION BY vin, start_us, end_us ORDER BY msg_us, frame_id)
+),
+halves AS (SELECT *, least(20, i) AS c, least(20, i, n - 1 - i) AS h FROM numbered),
+smooth AS (SELECT vin, start_us, end_us, i, list_sort(around[c - h + 1 : c + h + 1])[h + 1] AS s FROM halves),
+steps AS (
+  SELECT vin, start_us, end_us, s - lag(s) OVER (PARTITION BY vin, start_us, end_us ORDER BY i) AS step FROM smooth)
+SELECT vin, start_us, end_us, count(*) AS frames, {up('min(step)', 4)} AS lowest_step,
+  CASE WHEN coalesce(min(step) < -70, false) THEN '1' ELSE '0' END AS is_warning
+FROM steps GROUP BY vin, start_us, end_us""",
+    "bms_windows": f"""WITH {FRAMES}, {RUNS}, {SESSIONS}, {TEN_DAYS}
+SELECT vin, w.start_us, w.end_us, count(*) AS frames, {up('avg(cell_spread * 1000)', 4)} AS mean_spread,
+  CAST(NULL AS VARCHAR) AS is_warning
+FROM frames f JOIN windows w USING (vin) WHERE msg_us BETWEEN w.start_us AND w.end_us
+GROUP BY vin, w.start_us, w.end_us""",
     "resistance_drop": f"""WITH {FRAMES},
 numbered AS (
   SELECT vin, resistance, row_number() OVER w - 1 AS i, count(*) OVER (PARTITION BY vin) AS n,

@@ -173,11 +173,18 @@ def spread_trend(
     slope_over: float = 0.05,
     range_over: float = 40.0,
 ) -> DataFrame:
-    """Whether the voltage spread grows over the last ``n`` sessions, at each session.
+    """Whether the voltage spread grows over the last ``n`` sessions, at each session."""
+    return trend_of(session_spread(rows, spread), n, slope_over, range_over)
+
+
+def trend_of(
+    spreads: DataFrame, n: int = 10, slope_over: float = 0.05, range_over: float = 40.0
+) -> DataFrame:
+    """The same from the rows of :func:`session_spread`, as computed or as stored.
 
     ``day_diff`` holds the days from each session to the one before it.
     """
-    found = last_n(session_spread(rows, spread), n, carry=["spread"])
+    found = last_n(spreads, n, carry=["spread"])
     return (
         found.select(
             "vin",

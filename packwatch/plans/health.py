@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from packwatch.operators.keyed import in_windows
-from packwatch.operators.models import connection_impedance, resistance_drop, sampling_inputs
+from packwatch.operators.models import connection_impedance, resistance_drop, sampling_inputs, sampling_result
 
 WINDOW = ("vin", "start_us", "end_us")
 ORDER = ("msg_us", "frame_id")
@@ -38,7 +38,14 @@ def resistance_run(frames: DataFrame, **limits: float) -> DataFrame:
     return resistance_drop(frames, WINDOW, ORDER, "resistance", **limits)
 
 
-def sampling_run(frames: DataFrame, piece: int = 10_000) -> DataFrame:
+def sampling_run(frames: DataFrame) -> DataFrame:
+    """One row per window of the sampling model, with the mean spread in millivolts."""
+    scaled = frames.withColumn("_spread", F.col("cell_spread") * 1000)
+    return sampling_result(scaled, WINDOW, "_spread")
+
+
+def sampling_signal(frames: DataFrame, piece: int = 10_000) -> DataFrame:
+    """The ordered cell numbers of every window, in pieces of bounded size."""
     scaled = frames.withColumn("_spread", F.col("cell_spread") * 1000)
     return sampling_inputs(
         scaled, WINDOW, ORDER, "max_cell_num", "min_cell_num", "_spread", piece

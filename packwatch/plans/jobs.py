@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 
 from packwatch import schemas
 from packwatch.functions.calendar import previous_day, previous_month, previous_week
+from packwatch.operators.keyed import slices
 from packwatch.operators.sessions import sessions
-from packwatch.plans import charging, classify, warnings, weekly
+from packwatch.plans import charging, classify, health, warnings, weekly
 from packwatch.session import settle
 from packwatch.sources.readers import clean_frames, read_frames, read_stored
 from packwatch.sources.writers import overwrite_table, write_documents, write_period
@@ -38,6 +39,14 @@ RECORDS = schemas.struct(
     vin=TEXT, license_plate=TEXT, start_us=WHOLE, end_us=WHOLE, start_soc=schemas.NUMBER, end_soc=schemas.NUMBER,
     ampere_hours=schemas.NUMBER, charge_type=TEXT, province=TEXT, vehicle_type=TEXT, enterprise=TEXT, dt=TEXT,
 )
+SPREADS = schemas.struct(vin=TEXT, start_us=WHOLE, end_us=WHOLE, spread=schemas.NUMBER, dt=TEXT)
+
+#: Models that run over the charges closed in a day, with the index of their documents.
+MODELS = {
+    "connection_impedance_es": health.impedance_run,
+    "resistance_reduce": health.resistance_run,
+    "bms_sampling": health.sampling_run,
+}
 
 
 @dataclass(frozen=True)
@@ -164,13 +173,12 @@ def plan_frames(spark: SparkSession, layout: Layout) -> DataFrame:
     )
 
 
-def daily_charges(spark: SparkSession, base: DataFrame, layout: Layout, as_of: date) -> None:
-    """Records of the charges that closed yesterday, whenever they began, stored and published.
+def charge_rows(spark: SparkSession, layout: Layout, day: date) -> DataFrame:
+    """Session rows of a day's frames, and of the charges that were open when it began.
 
     A table keeps which charges were still open at the end of a day, and since when. The next day reads its own
     frames, and earlier ones of just those vehicles, back to where the earliest of them began.
     """
-    day, _ = previous_day(as_of)
     eve = previous_day(day)[0]
     frames = plan_frames(spark, layout)
     still = read_stored(spark, layout.table("open_charges"), OPEN_CHARGES).where(F.col("dt") == f"{eve}").drop("dt")
@@ -180,7 +188,13 @@ def daily_charges(spark: SparkSession, base: DataFrame, layout: Layout, as_of: d
         first = min(eve, datetime.fromtimestamp(begun // 1_000_000, timezone.utc).date())
         earlier = frames.where(F.col("dt").between(f"{previous_day(first)[0]}", f"{eve}")).join(still, "vin")
         found = found.unionByName(earlier.where(F.col("msg_us") >= F.col("start_us")).drop("start_us"))
-    rows = charging.own_rows(found, F.col("charge_status") == "1")
+    return charging.own_rows(found, F.col("charge_status") == "1")
+
+
+def daily_charges(spark: SparkSession, base: DataFrame, layout: Layout, as_of: date) -> None:
+    """Records of the charges that closed yesterday, whenever they began, stored and published."""
+    day, _ = previous_day(as_of)
+    rows = charge_rows(spark, layout, day)
     counted = settle(charging.charge_records(rows, base), "charge-records")
     kept = counted.select(*[F.col(c) for c in RECORDS.names if c != "dt"])
     write_period(kept, layout.table("charge_records"), {"dt": f"{day}"})
@@ -199,6 +213,40 @@ def daily_current_histograms(spark: SparkSession, layout: Layout, as_of: date) -
     current_histograms(plan_frames(spark, layout), stored_charges(spark, layout), layout, as_of)
 
 
+def daily_spreads(spark: SparkSession, layout: Layout, as_of: date, **limits: float) -> None:
+    """Trend of the voltage spread at every charge closed yesterday that crossed 80 %.
+
+    The spread of each such charge is stored once. A trend looks at those stored until then, of yesterday's
+    vehicles only, so no frames of earlier charges are read again.
+    """
+    day, _ = previous_day(as_of)
+    fresh = charging.session_spread(charge_rows(spark, layout, day), "cell_spread")
+    write_period(fresh.select("vin", "start_us", "end_us", "spread"), layout.table("charge_spreads"), {"dt": f"{day}"})
+    stored = read_stored(spark, layout.table("charge_spreads"), SPREADS)
+    today = stored.where(F.col("dt") == f"{day}")
+    history = stored.where(F.col("dt") <= f"{day}").join(today.select("vin").distinct(), "vin", "left_semi")
+    trends = charging.trend_of(slices(history.drop("dt"), ["vin"], "start_us"), **limits)
+    publish(trends.join(today.select("vin", "start_us"), ["vin", "start_us"]), layout, "charge_vol_day_diff", f"{day}")
+
+
+def daily_models(spark: SparkSession, layout: Layout, as_of: date) -> None:
+    """Impedance, resistance and sampling models over yesterday's charges, from the stored frames and records.
+
+    The frames of the charges are brought together once, for all models.
+    """
+    day, _ = previous_day(as_of)
+    charges = stored_charges(spark, layout).where(F.col("dt") == f"{day}").select(*health.WINDOW)
+    begun = charges.agg(F.min("start_us").alias("us")).first()["us"]
+    first = day if begun is None else min(day, datetime.fromtimestamp(begun // 1_000_000, timezone.utc).date())
+    frames = plan_frames(spark, layout).where(F.col("dt").between(f"{previous_day(first)[0]}", f"{day}"))
+    used = frames.select(
+        "vin", "msg_us", "frame_id", "cell_spread", "total_current", "resistance", "max_cell_num", "min_cell_num"
+    )
+    inside = settle(health.window_frames(used, charges), "charge-frames")
+    for index, model in MODELS.items():
+        publish(model(inside), layout, index, f"{day}")
+
+
 def current_histograms(
     frames: DataFrame, records: DataFrame, layout: Layout, as_of: date
 ) -> None:

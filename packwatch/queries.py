@@ -336,14 +336,34 @@ def impedance_windows(spark, folder):
         "cell_spread",
         F.when(lens.charging(), -F.col("total_current")).otherwise(F.col("total_current")).alias("total_current"),
     )
-    starts = sessions.large_charges(sessions.sessions(_session_rows(spark, folder))).select("vin", "start_us")
-    ten_days = starts.select("vin", "start_us", (F.col("start_us") + 10 * 86_400_000_000).alias("end_us"))
-    before = starts.select("vin", F.lit(0).cast("long").alias("start_us"), F.col("start_us").alias("end_us"))
+    ten_days = _ten_days(spark, folder)
+    before = ten_days.select("vin", F.lit(0).cast("long").alias("start_us"), F.col("start_us").alias("end_us"))
     wanted = settle(ten_days.unionByName(before), "windows")
     found = health.run_models(frames, wanted, lambda f: health.impedance_run(f, slow_limit=9.0, fast_limit=11.0, slow_mean=45.0))
     return _rounded(found, 6, "impedance", "mean_current", "peak_current")
 
 
+def _ten_days(spark, folder):
+    """Windows of ten days from the start of each large charge."""
+    starts = sessions.large_charges(sessions.sessions(_session_rows(spark, folder))).select("vin", "start_us")
+    return starts.select("vin", "start_us", (F.col("start_us") + 10 * S.US_PER_DAY).alias("end_us"))
+
+
+def resistance_windows(spark, folder):
+    """Fall of the resistance within ten days from the start of each large charge: windows that overlap."""
+    frames = _frames(spark, folder).select("vin", "msg_us", "frame_id", "resistance")
+    wanted = settle(_ten_days(spark, folder), "windows")
+    found = health.run_models(frames, wanted, lambda f: health.resistance_run(f, drop=70.0))
+    return _rounded(found, 4, "lowest_step")
+
+
+def bms_windows(spark, folder):
+    """Result of the sampling model over the same windows."""
+    frames = _frames(spark, folder).select("vin", "msg_us", "cell_spread")
+    wanted = settle(_ten_days(spark, folder), "windows")
+    return _rounded(health.run_models(frames, wanted, health.sampling_run), 4, "mean_spread")
+
+
 def resistance_drop(spark, folder):
     frames = _frames(spark, folder).select("vin", "msg_us", "frame_id", "resistance")
     return _rounded(
@@ -396,7 +416,7 @@ def bms_inputs(spark, folder):
         F.lit(0).alias("start_us"),
         F.lit(0).alias("end_us"),
     )
-    found = health.sampling_run(frames, piece=50).withColumns(
+    found = health.sampling_signal(frames, piece=50).withColumns(
         {"high_cells": array_text("high_cells"), "low_cells": array_text("low_cells")}
     )
     return _rounded(found.drop("start_us", "end_us"), 4, "total")
@@ -479,6 +499,8 @@ QUERIES: dict[str, Query] = {
         spread_line,
         impedance_flag,
         impedance_windows,
+        resistance_windows,
+        bms_windows,
         resistance_drop,
         fluctuation_flag,
         cell_dispersion,

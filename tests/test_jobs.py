@@ -1,11 +1,12 @@
 """The scheduled jobs on stored tables, each run twice."""
 
 import json
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 import pytest
 
 from packwatch.plans import jobs, late, warnings
+from packwatch.sources.readers import read_stored
 
 
 @pytest.fixture()
@@ -240,3 +241,49 @@ def test_raw_messages_to_records_and_histograms(spark, layout):
         ("2024-01-03", 4, 0),
     ]
     assert documents(spark, layout, "charge_record").count() == 2
+
+
+def test_models_over_the_charges_of_a_day(spark, layout):
+    """Three charges of one vehicle, the second over midnight; each day is run twice."""
+    docs = []
+
+    def charge(day, hour, minute, spread, resistance):
+        start = datetime(2024, 1, day, hour, minute)
+        for k in range(60):
+            docs.append(
+                {
+                    "vin": "a", "msgTime": f"{start + timedelta(minutes=k):%Y-%m-%d %H:%M:%S}",
+                    "chargeStatus": "1" if k < 59 else "0", "soc": f"{70 + k // 3}%", "totalCurrent": "-20",
+                    "differenceCellVoltage": str(spread), "resistance": str(1000 if k < 30 else resistance),
+                    "maxCellVoltageNum": "3", "minCellVoltageNum": "4", "province": "p", "vehicleType": "t", "enterprise": "e",
+                }
+            )
+
+    charge(1, 8, 0, 0.02, 1000)
+    charge(2, 23, 30, 0.2, 600)
+    charge(4, 10, 0, 0.4, 1000)
+    raw = spark.createDataFrame([(json.dumps(d), d["msgTime"][:10]) for d in docs], "data string, dt string")
+    base = spark.createDataFrame([("a", "A-1")], "vin string, license_plate string")
+    for day in (1, 2, 3, 4):
+        for _ in range(2):
+            jobs.load_day(raw, layout, date(2024, 1, day))
+            jobs.daily_charges(spark, base, layout, date(2024, 1, day + 1))
+            jobs.daily_spreads(spark, layout, date(2024, 1, day + 1), n=2, slope_over=0.01, range_over=1.0)
+            jobs.daily_models(spark, layout, date(2024, 1, day + 1))
+    starts = ["2024-01-01 08:00:00", "2024-01-02 23:30:00", "2024-01-04 10:00:00"]
+    impedance = documents(spark, layout, "connection_impedance_es").collect()
+    # 1, 10 and 20 mV per A: beyond the limit of 8 from the second charge on
+    assert sorted((r.chargeStartTime, r.frames, r.isWarning) for r in impedance) == [(s, 59, f) for s, f in zip(starts, "011")]
+    reduced = documents(spark, layout, "resistance_reduce").collect()
+    assert sorted((r.startTime, r.isWarning) for r in reduced) == [(s, f) for s, f in zip(starts, "010")]
+    sampled = documents(spark, layout, "bms_sampling").collect()
+    assert sorted((r.startTime, r.frames, round(r.mean_spread, 6)) for r in sampled) == [
+        (s, 59, x) for s, x in zip(starts, (20.0, 200.0, 400.0))
+    ]
+    # from the second charge on there are two to compare
+    trends = documents(spark, layout, "charge_vol_day_diff").collect()
+    assert sorted((r.dt, [round(x, 6) for x in r.volDiff], r.isWarning) for r in trends) == [
+        (starts[1], [0.02, 0.2], "1"),
+        (starts[2], [0.2, 0.4], "1"),
+    ]
+    assert read_stored(spark, layout.table("charge_spreads"), jobs.SPREADS).count() == 3
