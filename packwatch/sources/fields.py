@@ -5,6 +5,9 @@ Columns that are not listed keep their name.
 
 from __future__ import annotations
 
+#: Times that tables hold in microseconds (``start_us``) and documents as text (``start_time``).
+TIMES = ("start", "end")
+
 # fixed values: index names and field mappings of the serving layer
 DOCUMENTS: dict[str, dict[str, str]] = {
     "warning": {

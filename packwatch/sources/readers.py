@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from packwatch import schemas
 from packwatch.functions.scalars import percent_ratio
-from packwatch.sources.fields import DOCUMENTS
+from packwatch.sources.fields import DOCUMENTS, TIMES
 
 MESSAGE = schemas.struct(value=schemas.TEXT)
 #: What the detectors read of a frame.
@@ -131,16 +131,22 @@ def read_documents(
 ) -> DataFrame:
     """Documents of an index under the column names of its table.
 
-    ``schema`` lists the columns by their table names.
+    ``schema`` lists the columns by their table names. ``start_us`` and ``end_us`` come from the texts that stand
+    for them in documents; a text that is no time gives NULL.
     """
     names = DOCUMENTS[index]
+    texts = {f"{name}_us": f"{name}_time" for name in TIMES}
+    field = {f.name: names.get(texts.get(f.name, f.name), texts.get(f.name, f.name)) for f in schema.fields}
     stored = T.StructType(
-        [T.StructField(names.get(f.name, f.name), f.dataType) for f in schema.fields]
-    )
-    back: Mapping[str, str] = {names.get(f.name, f.name): f.name for f in schema.fields}
-    return (
-        spark.read.format(format).schema(stored).options(**options).load(path).withColumnsRenamed(back)
+        [T.StructField(field[f.name], schemas.TEXT if f.name in texts else f.dataType) for f in schema.fields]
     )
+    found = spark.read.format(format).schema(stored).options(**options).load(path)
+
+    def column(name: str) -> Column:
+        value = F.col(f"`{field[name]}`")
+        return (F.unix_micros(value.try_cast("timestamp")) if name in texts else value).alias(name)
+
+    return found.select(*[column(name) for name in schema.names])
 
 
 def domain(spark: SparkSession, name: str, low: int, high: int) -> DataFrame:

@@ -10,14 +10,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from packwatch.session import work_folder
-from packwatch.sources.fields import DOCUMENTS
+from packwatch.sources.fields import DOCUMENTS, TIMES
 
 
 def with_time_text(df: DataFrame) -> DataFrame:
-    """``start_us`` and ``end_us``, where present, as the texts ``start_time``, ``end_time``."""
-    for name in ("start", "end"):
+    """``start_us`` and ``end_us``, where present, as the texts ``start_time``, ``end_time``.
+
+    A fraction of a second is written only where there is one.
+    """
+    for name in TIMES:
         if f"{name}_us" in df.columns:
-            text = F.date_format(F.timestamp_micros(f"{name}_us"), "yyyy-MM-dd HH:mm:ss")
+            text = F.timestamp_micros(f"{name}_us").cast("string")
             df = df.withColumn(f"{name}_time", text).drop(f"{name}_us")
     return df
 

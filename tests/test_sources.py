@@ -1,10 +1,11 @@
 import json
-from datetime import datetime
+from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from packwatch import schemas
+from packwatch.plans import charging
 from packwatch.sources import readers, writers
 from packwatch.sources.fields import DOCUMENTS
 
@@ -58,6 +59,30 @@ def test_documents_round_trip(spark, tmp_path):
     assert back.collect() == df.collect() and len(DOCUMENTS) == 16
 
 
+def test_times_of_documents_round_trip(spark, tmp_path):
+    """Charge records come back from documents with their microseconds and select the same frames."""
+    day = 86_400_000_000
+    kinds = "vin string, start_us long, end_us long, charge_type string, province string, vehicle_type string"
+    df = spark.createDataFrame(
+        [("v", 3 * day + 5, 3 * day + 9_000_001, "0", "p", "t"), ("w", 3 * day, 3 * day + 1_000_000, "1", "p", "t"), ("x", None, 7, "1", "p", "t")],
+        kinds,
+    )
+    path = str(tmp_path / "records")
+    writers.write_documents(df, path, "charge_record")
+    texts = {r.vin: (r.chargeStartTime, r.chargeEndTime) for r in spark.read.json(path).collect()}
+    assert texts["w"] == ("1970-01-04 00:00:00", "1970-01-04 00:00:01")
+    assert texts["v"] == ("1970-01-04 00:00:00.000005", "1970-01-04 00:00:09.000001")
+    back = readers.read_documents(spark, path, "charge_record", df.schema)
+    assert sorted(back.collect(), key=str) == sorted(df.collect(), key=str)
+    # the first frame of v lies on its start, the last one a microsecond after its end
+    frames = spark.createDataFrame(
+        [("v", 3 * day + t, "1", 7.0, "p", "t", "1970-01-04") for t in (5, 9_000_001, 9_000_002)],
+        "vin string, msg_us long, charge_status string, total_current double, province string, vehicle_type string, dt string",
+    )
+    found = charging.current_histograms(frames, back, as_of=date(1970, 1, 5)).collect()
+    assert [(r.vin, r.frequency[1], sum(r.frequency)) for r in found] == [("v", 2, 2)]
+
+
 def test_dynamic_partitions_are_idempotent(spark, tmp_path):
     path = str(tmp_path / "stats")
     day1 = spark.createDataFrame([("v", 1, "01", "01")], "vin string, total long, month string, day string")
