@@ -269,6 +269,20 @@ STATS = ", ".join(
     }.items()
 )
 
+TRENDS = f"""WITH {FRAMES}, {RUNS}, {SESSIONS}, {CROSSING},
+series AS (
+  SELECT vin, start_us, list(spread) OVER w AS ys, list(start_us) OVER w AS ts FROM crossing
+  WINDOW w AS (PARTITION BY vin ORDER BY start_us ROWS 2 PRECEDING)
+),
+gaps AS (
+  SELECT *, [0::DOUBLE, (ts[2] - ts[1]) / 86400000000, (ts[3] - ts[2]) / 86400000000] AS xs
+  FROM series WHERE len(ts) = 3
+),
+points AS (SELECT vin, start_us, unnest(xs) AS x, unnest(ys) AS y FROM gaps),
+lines AS (
+  SELECT vin, start_us, regr_slope(y, x) AS slope, max(x) - min(x) AS day_range FROM points GROUP BY ALL
+)"""
+
 TEN_DAYS = """windows AS (
   SELECT vin, start_us, start_us + 864000000000 AS end_us FROM sessions WHERE end_soc - start_soc > 40
 )"""
@@ -375,19 +389,10 @@ FROM frames f JOIN sessions s ON f.vin = s.vin AND f.province = s.province
   AND f.msg_us BETWEEN s.start_us AND s.end_us
 WHERE f.is_on GROUP BY f.province, f.vehicle_type, f.vin, s.charge_type"""
     ),
-    "spread_trend": f"""WITH {FRAMES}, {RUNS}, {SESSIONS}, {CROSSING},
-series AS (
-  SELECT vin, start_us, list(spread) OVER w AS ys, list(start_us) OVER w AS ts FROM crossing
-  WINDOW w AS (PARTITION BY vin ORDER BY start_us ROWS 2 PRECEDING)
-),
-gaps AS (
-  SELECT *, [0::DOUBLE, (ts[2] - ts[1]) / 86400000000, (ts[3] - ts[2]) / 86400000000] AS xs
-  FROM series WHERE len(ts) = 3
-),
-points AS (SELECT vin, start_us, unnest(xs) AS x, unnest(ys) AS y FROM gaps),
-lines AS (
-  SELECT vin, start_us, regr_slope(y, x) AS slope, max(x) - min(x) AS day_range FROM points GROUP BY ALL
-)
+    "trend_function": f"""{TRENDS}
+SELECT vin, start_us, CASE WHEN slope * 1000 / 24 > 0.05 AND day_range * 24 > 40 THEN '1' ELSE '0' END AS is_warning
+FROM lines""",
+    "spread_trend": f"""{TRENDS}
 SELECT vin, start_us, {', '.join(
     "concat_ws(',', " + ", ".join(f"CAST(round(CAST({v}[{i}] AS DECIMAL(28,8)), 4) AS VARCHAR)" for i in (1, 2, 3)) + f") AS {name}"
     for v, name in (("ys", "vol_diff"), ("xs", "day_diff"))
@@ -537,6 +542,36 @@ SELECT vin, piece, string_agg(max_cell_num, ',' ORDER BY msg_us, frame_id) AS hi
   string_agg(min_cell_num, ',' ORDER BY msg_us, frame_id) AS low_cells, count(cell_spread) AS n,
   {up('sum(cell_spread * 1000)', 4)} AS total, CAST(NULL AS VARCHAR) AS is_warning
 FROM numbered GROUP BY vin, piece""",
+    "signal_functions": f"""WITH {FRAMES},
+cut AS (
+  SELECT *, (row_number() OVER (PARTITION BY vin ORDER BY msg_us, frame_id) - 1) // 60 AS piece,
+    is_on AND total_current > 5 AS strong FROM frames
+),
+numbered AS (
+  SELECT *, row_number() OVER w - 1 AS i, count(*) OVER (PARTITION BY vin, piece) AS n,
+    abs(high_v - lag(high_v) OVER w) AS x, abs(low_v - lag(low_v) OVER w) AS y,
+    list(resistance) OVER (PARTITION BY vin, piece ORDER BY msg_us, frame_id
+      ROWS BETWEEN 20 PRECEDING AND 20 FOLLOWING) AS around
+  FROM cut WINDOW w AS (PARTITION BY vin, piece ORDER BY msg_us, frame_id)
+),
+halves AS (SELECT *, least(20, i) AS c, least(20, i, n - 1 - i) AS h FROM numbered),
+smooth AS (SELECT *, list_sort(around[c - h + 1 : c + h + 1])[h + 1] AS s FROM halves),
+steps AS (SELECT *, s - lag(s) OVER (PARTITION BY vin, piece ORDER BY i) AS step FROM smooth),
+scored AS (
+  SELECT vin, piece, count(*) AS frames, avg(cell_spread * 1000 / total_current) FILTER (strong) AS impedance,
+    avg(total_current) FILTER (strong) AS mean_current, max(total_current) FILTER (strong) AS peak_current,
+    min(step) AS lowest, sum(x) AS xs, sum(y) AS ys, count(x) + count(y) AS moves
+  FROM steps GROUP BY vin, piece
+)
+SELECT vin, piece, frames,
+  CASE WHEN frames > 50 AND impedance >= CASE
+    WHEN mean_current >= 50 OR (mean_current > 30 AND peak_current > 50) THEN 11 ELSE 9 END
+  THEN '1' ELSE '0' END AS impedance,
+  CASE WHEN coalesce(lowest < -70, false) THEN '1' ELSE '0' END AS resistance,
+  CASE WHEN moves > 0 AND greatest(xs, ys) > 0 AND (xs + ys) / moves > 0.005
+    AND least(xs, ys) / greatest(xs, ys) < 0.8 THEN '1' ELSE '0' END AS fluctuation,
+  CAST(NULL AS VARCHAR) AS sampling
+FROM scored""",
     "stream_sessions": _sessions_only(SESSION_SELECT),
     "stream_large": _sessions_only(f"{SESSION_SELECT} WHERE end_soc - start_soc > 40"),
     "stream_last_n": f"WITH {FRAMES}, {RUNS}, {SESSIONS}, {CROSSING}{LAST_N_SELECT}",

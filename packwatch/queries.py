@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from packwatch import lens
+from packwatch.functions import flags
 from packwatch.functions import scalars as S
-from packwatch.operators import models, sessions, signals
+from packwatch.operators import keyed, models, sessions, signals
 from packwatch.operators.boxplot import quartiles, with_fences
 from packwatch.operators.histogram import array_text
 from packwatch.plans import charging, classify, health, warnings, weekly
@@ -24,6 +25,8 @@ LAST_N = 3
 ORDER = ["msg_us", "frame_id"]
 # stretches of time in which a stream arrives
 PARTS = 2
+# frames of a signal that goes through a function at once
+STRETCH = 60
 
 
 def _events(spark: SparkSession, folder: str) -> DataFrame:
@@ -422,6 +425,43 @@ def bms_inputs(spark, folder):
     return _rounded(found.drop("start_us", "end_us"), 4, "total")
 
 
+def trend_function(spark, folder):
+    """The SQL function of the spread trend, on the spreads of the last charges in millivolts and their gaps in hours."""
+    flags.register(spark)
+    rows = _session_rows(spark, folder, "soc", "cell_spread")
+    found = charging.spread_trend(rows, "cell_spread", LAST_N)
+    flag = F.expr("charge_vol_diff_exp(transform(vol_diff, v -> v * 1000), transform(day_diff, d -> d * 24))")
+    return found.select("vin", "start_us", flag.alias("is_warning"))
+
+
+def signal_functions(spark, folder):
+    """The SQL functions over signals, on stretches of STRETCH frames of each vehicle."""
+    flags.register(spark)
+    frames = _frames(spark, folder).select(
+        "vin",
+        "msg_us",
+        "frame_id",
+        (F.col("cell_spread") * 1000).alias("spread"),
+        F.when(lens.charging(), -F.col("total_current")).otherwise(F.col("total_current")).alias("cur"),
+        *["soc", "resistance", "high_v", "low_v"],
+        F.col("max_cell_num").cast("int").alias("high_cell"),
+        F.col("min_cell_num").cast("int").alias("low_cell"),
+    )
+    cut = keyed.slices(frames, ["vin"], ORDER[0], ORDER[1:])
+    numbered = keyed.positions(cut, ["vin"], ORDER, "_pos")
+    signal = F.sort_array(F.collect_list(F.struct("_pos", *frames.columns[3:]))).alias("s")
+    found = numbered.groupBy("vin", F.floor((F.col("_pos") - 1) / STRETCH).alias("piece")).agg(signal)
+    return found.select(
+        "vin",
+        "piece",
+        F.size("s").alias("frames"),
+        F.expr("conn_impedance(s.spread, s.cur, s.soc, 9D, 11D)").alias("impedance"),
+        F.expr("r_reduce(s.resistance, 70, 20)").alias("resistance"),
+        F.expr("vol_fluctuation(s.high_v, s.low_v, 0.8D)").alias("fluctuation"),
+        F.expr("bms_sampling(s.high_cell, s.low_cell, s.spread[0])").alias("sampling"),
+    )
+
+
 # --- streams ---
 
 
@@ -506,6 +546,8 @@ QUERIES: dict[str, Query] = {
         cell_dispersion,
         self_discharge,
         bms_inputs,
+        trend_function,
+        signal_functions,
         stream_sessions,
         stream_large,
         stream_last_n,
