@@ -21,6 +21,9 @@ SLICED = [
     "current_histogram",
     "spread_trend",
     "resistance_drop",
+    "resistance_windows",
+    "bms_windows",
+    "signal_functions",
     "self_discharge",
     "bms_inputs",
     "stream_last_n",
