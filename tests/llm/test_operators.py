@@ -16,7 +16,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from tokenizers import Tokenizer  # noqa: E402
 
 from packwatch.llm import bpe, line_dedup, packing, pii, quality  # noqa: E402
-from packwatch.llm.common import components, work_folder  # noqa: E402
+from packwatch.llm.common import components, settle, work_folder  # noqa: E402
 from packwatch.llm.embedding_dedup import near_vectors  # noqa: E402
 from packwatch.llm.ngram_join import least_matches, near_texts, one_of_each  # noqa: E402
 from packwatch.llm.quality_model import scored  # noqa: E402
@@ -315,3 +315,28 @@ def test_columns_with_any_name(spark):
     dotted = docs.withColumnsRenamed({"doc_id": "doc.id", "text": "the.text", "nth": "cell.x"})
     found = external_shuffle(dotted, work_folder(spark, "test-shards"), 2, id_column="doc.id", text_column="the.text").collect()
     assert sorted((tuple(r["record"]) for r in found), key=repr) == sorted(rows, key=repr)
+
+
+CLASHING = ["_one", "nth", "id", "doc", "key", "cell", "record", "component", "kept", "bucket"]
+
+
+def test_stages_of_hard_tables(spark, library, tmp_path):
+    """Null ids and texts, repeated rows, columns named like those that operators use, and no rows at all."""
+    import corpus_pipeline
+
+    hard = [(1, prose(1, 30)), (1, prose(1, 30)), (None, prose(2, 30)), (None, prose(2, 30)), (None, None), (3, None), (4, ""), (5, prose(5, 3000))]
+    rows = [(i, t, len(t or ""), *range(len(CLASHING))) for i, t in hard]
+    kinds = "doc_id long, text string, n_chars long, " + ", ".join(f"{c} int" for c in CLASHING)
+    for found in (rows, []):
+        docs = spark.createDataFrame(found, kinds)
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            columns = docs.columns
+            docs = stage(spark, docs, str(tmp_path))
+            assert docs.columns == columns
+            docs = settle(docs, "hard-stage")
+        # texts of too few words go; of rows that repeat one stays, but rows without an id all do
+        left = sorted(docs.collect(), key=lambda r: str(r.doc_id))
+        assert [r.doc_id for r in left] == ([1, 5, None, None] if found else [])
+        assert all(tuple(r)[3:] == tuple(range(len(CLASHING))) for r in left)
+        packed = corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).collect()
+        assert {r.doc_id for r in packed} == {r.doc_id for r in left}
