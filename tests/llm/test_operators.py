@@ -15,7 +15,7 @@ import public_tokenizers  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 from tokenizers import Tokenizer  # noqa: E402
 
-from packwatch.llm import bpe, line_dedup, packing, pii, quality  # noqa: E402
+from packwatch.llm import bpe, line_dedup, packing, pii, quality, quality_model  # noqa: E402
 from packwatch.llm.common import components, settle, work_folder  # noqa: E402
 from packwatch.llm.embedding_dedup import near_vectors  # noqa: E402
 from packwatch.llm.ngram_join import least_matches, near_texts, one_of_each  # noqa: E402
@@ -105,6 +105,25 @@ def test_quality_model(spark, docs, empty):
     assert scored(empty, labels).count() == 0
 
 
+def test_quality_fit_equals_descent_over_all_pairs():
+    """The fit on drawn pairs agrees with plain gradient descent over every pair of a good and a bad document."""
+    rng = np.random.default_rng(3)
+    good, bad = rng.normal([0.6, -0.4, 0.0], 1.0, (70, 3)), rng.normal(0.0, 1.0, (90, 3))
+    d = (good[:, None] - bad[None]).reshape(-1, 3)
+    w = np.zeros(3)
+    for _ in range(3000):
+        w += 0.5 * (d.T @ (1 / (1 + np.exp(d @ w))) / len(d) - quality_model.RIDGE * w)
+    assert np.abs(quality_model.fit(good, bad) - w).max() < 0.05 * np.abs(w).max()
+
+
+def test_quality_threshold_is_a_quantile(spark):
+    """Where labels cannot be told apart, as many of the fitted documents pass as are labelled good."""
+    frame = spark.createDataFrame([(i, prose(i, 40 + i % 7)) for i in range(120)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(120)], "doc_id long, quality int")
+    fitted = [r for r in scored(frame, labels).collect() if not r.held_out]
+    assert abs(sum(r.predicted for r in fitted) - sum(r.id % 3 == 0 for r in fitted)) <= 1
+
+
 def test_archive(spark):
     long = "<p>" + "é" * 800
     rows = [(1, "http://a\r\nX: y", long), (2, "b", long), (3, "c", long), (4, "d", "short"), (5, "d", "short"), (6, None, None), (None, "e", long)]
