@@ -1,7 +1,8 @@
 """BPE encoding and decoding with tree concatenation for long unsplit text.
 
 Texts are cut at spaces and line ends, which the tokenizer drops and no token spans, so words
-are encoded one by one and remembered. What has no such place for a long stretch (a run of
+are encoded one by one and remembered. Where a file's rules are known, stretches of plain words are
+lower-cased first, as fewer words differ then. What has no such place for a long stretch (a run of
 letters, or a script without spaces) is normalised and split by the tokenizer's own rules, and
 a piece that is still long is halved again and again. Halves are encoded in parallel and
 joined bottom up.
@@ -21,6 +22,7 @@ import json
 import re
 import struct
 import sys
+from collections.abc import Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -33,7 +35,7 @@ from packwatch.llm.common import settle, table
 #: A stretch without a cutting place of more characters than this goes through the tree.
 LONG_PIECE = 4096
 #: Words, and pieces of words, remembered per worker; the words before the last clearing are kept too.
-REMEMBERED = 300_000
+REMEMBERED = 500_000
 #: Longer words are not remembered.
 LONGEST_WORD = 64
 
@@ -41,6 +43,9 @@ LONGEST_WORD = 64
 # what it comes to for words of printable ASCII and Latin-1 letters.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 PLAIN_WORD = re.compile(r"[!-~\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+")
+#: What ends a stretch of plain words: any other character but a space or a line end.
+NOT_PLAIN = r"[^!-~\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF \n]"
+WORD_END = re.compile("[ \n]|$")
 PLAIN_SPLIT = re.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00DF-\u00F6\u00F8-\u00FF]+|[0-9]|[^\sa-z0-9\u00DF-\u00F6\u00F8-\u00FF]+"
 )
@@ -105,11 +110,18 @@ class Codec:
         self.model = self.whole.model
         self.specials = {t["content"]: t["id"] for t in model["added_tokens"]}
         self.special = re.compile("(" + "|".join(map(re.escape, self.specials)) + ")") if self.specials else None
+        self.odd = re.compile("|".join([*map(re.escape, self.specials), NOT_PLAIN]))
+        self.not_plain = re.compile(NOT_PLAIN)
         self.token = [self.whole.id_to_token(i) or "" for i in range(self.whole.get_vocab_size())]
         self.symbols = byte_symbols()
         self.split = Remembered(self.piece_ids)
         self.kinds = {kind: Remembered(lambda w, make=make: make(self.ids(w))) for kind, make in
                       (("ids", tuple), ("bytes", self.as_bytes), ("text", self.as_text))}
+        self.lowered = {
+            "ids": Remembered(self.plain_ids),
+            "bytes": Remembered(self.plain_bytes),
+            "text": Remembered(lambda w: self.as_text(self.plain_ids(w))),
+        }
 
     # words ------------------------------------------------------------------
 
@@ -122,22 +134,42 @@ class Codec:
     def made(self, ids, kind: str):
         return {"ids": tuple, "bytes": self.as_bytes, "text": self.as_text}[kind](ids)
 
-    def piece_ids(self, piece: str) -> tuple[int, ...]:
+    def piece_ids(self, piece: str) -> bytes:
+        """Ids of a piece, packed, as memory bounds how many pieces are remembered."""
         symbols = piece.encode("utf-8").decode("latin-1").translate(self.symbols)
-        return tuple([t.id for t in self.model.tokenize(symbols)])
+        return self.as_bytes([t.id for t in self.model.tokenize(symbols)])
 
-    def ids(self, word: str) -> list[int]:
+    def plain_bytes(self, word: str) -> bytes:
+        """Packed ids of a plain word in lower case, piece by piece."""
+        return b"".join(map(self.split.__getitem__, PLAIN_SPLIT.findall(word)))
+
+    def plain_ids(self, word: str) -> tuple[int, ...]:
+        packed = self.plain_bytes(word)
+        return struct.unpack(f"<{len(packed) // 4}I", packed)
+
+    def ids(self, word: str) -> Sequence[int]:
         """Ids of a word: piece by piece where the rules are known, else by the library."""
         if not word:
             return []
         if self.plain and PLAIN_WORD.fullmatch(word) and not (self.special and self.special.search(word)):
-            split = self.split
-            return [i for p in PLAIN_SPLIT.findall(word.lower()) for i in split[p]]
+            return self.plain_ids(word.lower())
         return self.whole.encode(word, add_special_tokens=False).ids
 
     def words(self, text: str, kind: str) -> list:
         """What is made of each word of a text; spaces and line ends have none."""
-        return list(map(self.kinds[kind].__getitem__, text.replace("\n", " ").split(" ")))
+        word, lowered, out, at = self.kinds[kind], self.lowered[kind], [], 0
+        if not self.plain:
+            return list(map(word.__getitem__, text.replace("\n", " ").split(" ")))
+        if self.not_plain.search(text) or any(s in text for s in self.specials):
+            for m in self.odd.finditer(text):
+                if m.start() < at:
+                    continue
+                begin = max(text.rfind(" ", at, m.start()), text.rfind("\n", at, m.start()), at - 1) + 1
+                out += map(lowered.__getitem__, text[at:begin].lower().replace("\n", " ").split(" "))
+                at = WORD_END.search(text, m.end()).start()
+                out.append(word[text[begin:at]])
+        out += map(lowered.__getitem__, text[at:].lower().replace("\n", " ").split(" "))
+        return out
 
     # long stretches -----------------------------------------------------------
 
