@@ -45,7 +45,7 @@ def test_the_order_of_two_words_tells_pairs(spark):
 
 def test_members_compared_with_the_extremes_are_left_out(spark):
     lines = found(spark, [" ".join(words(80 + k, 10)) for k in range(5)])
-    distinct = lines.select("key", "words", F.lit(0).cast("long").alias("every"), F.lit(0).cast("long").alias("odd"))
+    distinct = lines.select("key", "words", F.lit(0).cast("long").alias("every"), F.lit(0).cast("long").alias("odd"), "wide")
     keys = sorted(r.key for r in distinct.collect())
     none = spark.createDataFrame([], "key long, component long")
 
@@ -57,6 +57,17 @@ def test_members_compared_with_the_extremes_are_left_out(spark):
     assert rest(keys) == {(keys[1], keys[2]), (keys[1], keys[3]), (keys[2], keys[3])}
 
 
+def test_long_lines_are_told_apart_before_they_travel(spark):
+    base = words(90, 200)
+    texts = [" ".join(base), " ".join([*base[:40], *words(91, 40), *base[80:]]), " ".join([*base[:20], *words(92, 180)])]
+    lines = found(spark, texts)
+    keys = [r.key for r in lines.orderBy("doc").collect()]
+    near = line_dedup.bucketed(lines)
+    # 40 edits of 200 may be close, 180 may not, though all share word pairs
+    assert {r.key for r in near.collect()} == set(keys)
+    assert {frozenset((r.u, r.v)) for r in line_dedup.centre_pairs(near, lines).collect()} == {frozenset(keys[:2])}
+
+
 def test_shuffle_files_go_with_the_query(spark, tmp_path):
     folder = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
     files = lambda: {f for d in folder for f in glob.glob(os.path.join(d, "*", "shuffle_*.data"))}
