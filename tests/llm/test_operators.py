@@ -116,6 +116,39 @@ def test_quality_fit_equals_descent_over_all_pairs():
     assert np.abs(quality_model.fit(good, bad) - w).max() < 0.05 * np.abs(w).max()
 
 
+def test_quality_learns_from_every_label(spark):
+    """No labelled document is left out, however many there are: the fit over stored rows is that over all of them."""
+    rng = np.random.default_rng(5)
+    size, rare = len(quality_model.FEATURES), 20
+    x, y = rng.normal(0.0, 1.0, (25_000, size)), (np.arange(25_000) % 3 > 0).astype(int)
+    x[y == 1, 0] += 0.8
+    # what a few documents have alone tells in the weights
+    x[:, 5] = 0.0
+    x[np.flatnonzero(y == 0)[:rare], 5] = 3.0
+    rows = spark.createDataFrame(list(zip(y.tolist(), x.tolist(), strict=True)), "label long, features array<double>")
+    w = quality_model.fit_rows(rows.repartition(3), np.zeros(size), np.ones(size))
+    assert w[0] > 0.5 and w[5] < -0.1
+    assert np.abs(w - quality_model.fit(x[y == 1], x[y == 0])).max() < 1e-8
+    values = spark.createDataFrame([(float(v),) for v in x[:, 1]] + [(0.5,)] * 12_000, "value double")
+    wanted = np.quantile(np.concatenate([x[:, 1], np.full(12_000, 0.5)]), [0, 0.123, 0.5, 0.71, 1])
+    assert [quality_model.quantile(values, 37_000, q) for q in (0, 0.123, 0.5, 0.71, 1)] == pytest.approx(wanted.tolist())
+
+
+def test_quality_uses_all_labels(spark, monkeypatch):
+    """One label more or less shows in the scores, though there were more than had been drawn."""
+    monkeypatch.setattr(quality_model, "FIT_ROWS", 40, raising=False)
+    monkeypatch.setattr(quality_model, "features", lambda text: [float(text)] + [0.0] * (len(quality_model.FEATURES) - 1))
+    frame = spark.createDataFrame([(i, str(i % 17 + (i % 2) * 5)) for i in range(400)], "doc_id long, text string")
+    labels = [(i, i % 2) for i in range(400)]
+
+    def scores(some: list) -> list:
+        return sorted((r.id, round(r.score, 7)) for r in scored(frame, spark.createDataFrame(some, "doc_id long, quality int")).collect())
+
+    fitted = [i for i in range(400) if zlib.crc32(str(i).encode()) % 4 != 2]
+    every = scores(labels)
+    assert all(scores(labels[:i] + labels[i + 1 :]) != every for i in (fitted[0], fitted[-1]))
+
+
 def test_quality_threshold_is_a_quantile(spark):
     """Where labels cannot be told apart, as many of the fitted documents pass as are labelled good."""
     frame = spark.createDataFrame([(i, prose(i, 40 + i % 7)) for i in range(120)], "doc_id long, text string")
